@@ -13,19 +13,29 @@ from pyspark.sql import functions as F
 
 from claimloom.functions import vocabulary as V
 
-# The text of a number, digits optionally grouped by single underscores.
-_DIGITS = r"\d(?:_?\d)*"
-_NUMBER = rf"^[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?$"
-_LARGEST_DOUBLE = 1.7976931348623157e308
-
-# The shapes of a date text.
-_YEAR_FIRST = r"^\d{4}-\d{1,2}-\d{1,2}$"
-_YEAR_LAST = r"^\d{1,2}([-/])\d{1,2}\1\d{4}$"
-_COMPACT = r"^(\d{4})(1[0-2]|0[1-9]|[1-9])(3[01]|[12]\d|0[1-9]|[1-9])$"
-_YEAR_FIRST_SLASHES = r"^\d{4}/\d{1,2}/\d{1,2}$"
-_WITH_TIME = r"^\d{4}-\d{1,2}-\d{1,2}[T ]\d{1,2}:\d{2}"
+_BLANK = f"[{V.BLANKS}]*"
+
+# The text of a number, digits optionally grouped by single underscores. The limits on
+# its length keep every match inside the range of a double.
+_WHOLE = r"\d(?:_?\d){0,199}"
+_DECIMALS = r"\d(?:_?\d)*"
+_NUMBER = rf"[+-]?(?:{_WHOLE}(?:\.(?:{_DECIMALS})?)?|\.{_DECIMALS})(?:[eE][+-]?\d{{1,2}})?"
+
+# The shapes of a date text and how their parts line up as year, month, day.
+_DATE_SHAPES = "|".join(
+    (
+        r"(\d{4})-(\d{1,2})-(\d{1,2})",
+        r"(\d{1,2})([-/])(\d{1,2})\5(\d{4})",
+        r"(\d{4})(1[0-2]|0[1-9]|[1-9])(3[01]|[12]\d|0[1-9]|[1-9])",
+        r"(\d{4})/(\d{1,2})/(\d{1,2})",
+    )
+)
+_YEAR_MONTH_DAY = "$1$7$8$11-$2$4$9$12-$3$6$10$13"
+_DAY_FIRST = r"(\d{1,2})([-/])(\d{1,2})\2(\d{4})"
+_DAY_FIRST_PARTS = "$4-$3-$1"
+_WITH_TIME = r"(\d{4}-\d{1,2}-\d{1,2}[T ]\d{1,2}:\d{2}.*?)"
 # Patterns with a month name, tried last and only for texts that hold a letter.
-_NAMED_MONTHS = ("MMMM d, yyyy", "MMM d, yyyy", "d MMM yyyy", "d MMMM yyyy")
+_NAMED_MONTH = "[MMMM d, yyyy][MMM d, yyyy][d MMM yyyy][d MMMM yyyy]"
 
 
 def strip(text: Column) -> Column:
@@ -33,56 +43,43 @@ def strip(text: Column) -> Column:
     return F.btrim(text.cast("string"), F.lit(V.BLANKS))
 
 
-def clean_amount(raw: Column) -> Column:
-    """Money text to double: no currency sign or commas; anything unreadable becomes 0.0."""
-    text = strip(F.translate(raw.cast("string"), "$,", ""))
-    number = F.when(text.rlike(_NUMBER), F.translate(text, "_", "").try_cast("double"))
-    return F.coalesce(F.when(F.abs(number) <= F.lit(_LARGEST_DOUBLE), number), F.lit(0.0))
+def _matched(text: Column, shape: str) -> Column:
+    """The one group of ``shape`` when the text is that and blanks around it, else an empty text."""
+    return F.regexp_extract(text, f"^{_BLANK}{shape}{_BLANK}$", 1)
 
 
-def clean_date(raw: Column) -> Column:
-    """Date text to date; null when no known form fits.
+def _rewritten(text: Column, shape: str, form: str) -> Column:
+    """The text in another form when it has the shape; otherwise the form with nothing filled in."""
+    return F.regexp_replace(text, f"(?s)^(?:{_BLANK}(?:{shape}){_BLANK}|.*)$", form)
 
-    The separator decides which shapes are worth testing, and the parts are put in ISO order and
-    cast: a cast answers null for a bad date, where a parser would throw and catch per row.
-    Where the year comes last, the month is tried first and then the day.
-    """
-    return _within_range(_parse_date(strip(raw)))
 
+def clean_amount(raw: Column) -> Column:
+    """Money text to double: no currency sign or commas; anything unreadable becomes 0.0.
 
-def _parse_date(text: Column) -> Column:
-    year = F.right(text, F.lit(4))
-    first = F.split_part(F.translate(text, "/", "-"), F.lit("-"), F.lit(1))
-    second = F.split_part(F.translate(text, "/", "-"), F.lit("-"), F.lit(2))
-    month_first = F.concat_ws("-", year, first, second).try_cast("date")
-    day_first = F.concat_ws("-", year, second, first).try_cast("date")
-    year_last = F.when(text.rlike(_YEAR_LAST), F.coalesce(month_first, day_first))
+    The pattern also bars what a cast would take for a number: infinity, nan, type suffixes.
+    """
+    number = _matched(F.translate(raw.cast("string"), "$,", ""), f"({_NUMBER})")
+    grouped = F.translate(number, "_", "")
+    return F.coalesce(number.try_cast("double"), grouped.try_cast("double"), F.lit(0.0))
 
-    with_slash = F.coalesce(
-        year_last,
-        F.when(text.rlike(_YEAR_FIRST_SLASHES), F.translate(text, "/", "-").try_cast("date")),
-    )
-    with_dash = F.coalesce(
-        F.when(text.rlike(_YEAR_FIRST), text.try_cast("date")),
-        year_last,
-        F.when(text.rlike(_WITH_TIME), text.try_cast("timestamp_ntz").cast("date")),
-    )
-    compact = F.when(
-        text.rlike(_COMPACT), F.regexp_replace(text, _COMPACT, "$1-$2-$3").try_cast("date")
-    )
-    named = F.when(
-        text.rlike("[A-Za-z]"),
-        F.coalesce(*[F.try_to_timestamp(text, F.lit(p)) for p in _NAMED_MONTHS]).cast("date"),
-    )
-    return (
-        F.when(F.contains(text, F.lit("/")), with_slash)
-        .when(F.contains(text, F.lit("-")), with_dash)
-        .otherwise(F.coalesce(compact, named))
-    )
 
+def clean_date(raw: Column) -> Column:
+    """Date text to date; null when no known form fits.
 
-def _within_range(date: Column) -> Column:
-    return F.when(date.between(F.lit(V.FIRST_DATE).cast("date"), F.lit(V.LAST_DATE).cast("date")), date)
+    A pattern puts the parts in ISO order, whatever their order was, and a cast reads them: it
+    answers null for a bad date, where a date parser throws and catches for every row. Where the
+    year comes last, the month is tried before the day. The later forms are only tried when those
+    before gave null. One pattern for all shapes keeps the generated method small enough for the
+    JIT compiler.
+    """
+    text = raw.cast("string")
+    named = F.try_to_timestamp(strip(text), F.lit(_NAMED_MONTH)).cast("date")
+    return F.coalesce(
+        _rewritten(text, _DATE_SHAPES, _YEAR_MONTH_DAY).try_cast("date"),
+        _rewritten(text, _DAY_FIRST, _DAY_FIRST_PARTS).try_cast("date"),
+        _matched(text, _WITH_TIME).try_cast("timestamp_ntz").cast("date"),
+        F.when(text.rlike("[A-Za-z]"), named),
+    )
 
 
 def _look_up(raw: Column, words: Mapping[str, str]) -> Column:

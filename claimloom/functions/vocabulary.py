@@ -75,10 +75,6 @@ NULL_PERCENT_KEYS = 10.0
 NULL_PERCENT_OTHER = 20.0
 TRANSFORMATION_VERSION = "1.0"
 
-# Dates outside this range count as unreadable (64-bit nanosecond timestamps).
-FIRST_DATE = "1677-09-22"
-LAST_DATE = "2262-04-11"
-
 # Cell texts that a data-frame CSV reader takes as missing.
 MISSING_CELLS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",

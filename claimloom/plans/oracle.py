@@ -16,8 +16,7 @@ def _read_amount(text: str) -> str:
 
 def _read_date(text: str) -> str:
     formats = "['%Y-%m-%d', '%m/%d/%Y', '%m-%d-%Y', '%d/%m/%Y', '%Y%m%d']"
-    read = f"cast(try_strptime(trim({text}), {formats}) as date)"
-    return f"case when {read} between date '{V.FIRST_DATE}' and date '{V.LAST_DATE}' then {read} end"
+    return f"cast(try_strptime(trim({text}), {formats}) as date)"
 
 
 def _read_word(text: str, words: dict[str, str]) -> str:
