@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from claimloom.functions import money
 from claimloom.functions import vocabulary as V
+from claimloom.functions.predicates import all_present
 from claimloom.operators.quantiles import day_quantile, exact_quantiles, one_quantile
 
 _DAYS = "days_to_resolution"
@@ -24,7 +25,7 @@ def _per_day(df: DataFrame, keys: Sequence[str], *extra: Column) -> DataFrame:
     """First level: partial results per group and day count; rows with a null group are left out."""
     amount = F.col("claim_amount")
     return (
-        df.dropna(subset=list(keys))
+        df.where(all_present(keys))
         .groupBy(*keys, _DAYS)
         .agg(
             F.count("claim_id").alias("n"),

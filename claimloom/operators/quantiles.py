@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from claimloom.functions.predicates import all_present
+
 _BINS_PER_E_FOLD = 512
 
 
@@ -37,7 +39,8 @@ def exact_quantiles(
     scan shuffles next to nothing. Any other group goes through a plain join and is just as exact.
     """
     keys = [by] if by else []
-    rows = df.select(*keys, F.col(value).cast("double").alias("__v")).dropna()
+    present = df.where(all_present([*keys, value]))
+    rows = present.select(*keys, F.col(value).cast("double").alias("__v"))
     rows = rows.withColumn("__bin", _bin(F.col("__v")))
 
     wanted = _wanted_bins(rows, keys, probabilities)

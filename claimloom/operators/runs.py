@@ -84,6 +84,7 @@ class RunLog:
         self.status = status
         self.metrics(RUN, {"duration_seconds": time.time() - self.started, "errors": len(self.errors)}, status)
         self.params({"final_status": status})
+        self._params += [(self.run_id, self.run_seq, "error", f"{e['phase']}: {e['error']}") for e in self.errors]
 
     def save(self, spark: SparkSession, path: str) -> None:
         for table, schema, rows in (

@@ -10,14 +10,13 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimloom.functions import rules
 from claimloom.functions import vocabulary as V
+from claimloom.functions.predicates import all_present
 from claimloom.schemas import CLAIM_COLUMNS, SCHEMAS, required_columns
 
 # What decides which version of a claim is the latest; carried as far as the deduplication.
@@ -34,9 +33,7 @@ def standardize_columns(df: DataFrame, columns: Sequence[str] = CLAIM_COLUMNS) -
 
 
 def drop_null_keys(df: DataFrame) -> DataFrame:
-    """Plain null tests, which reach the Parquet scan (those of ``dropna`` do not)."""
-    keys = [F.col(c).isNotNull() for c in required_columns(SCHEMAS["claims"])]
-    return df.where(reduce(and_, keys))
+    return df.where(all_present(required_columns(SCHEMAS["claims"])))
 
 
 def fill_defaults(df: DataFrame) -> DataFrame:

@@ -1,8 +1,9 @@
 """The registered queries, by key: each takes (spark, sf_dir) and returns a DataFrame.
 
-Queries over silver read one silver table, written once per session and input folder into the
-shared scratch folder; so do the two pipeline runs behind the run-tracking queries. All of them
-cover the whole tables.
+As in the pipeline, each layer reads the table the layer before has written: queries over raw
+claims read a bronze table and queries over clean ones a silver table, each written once per
+session and input folder into the shared scratch folder. The same goes for the two pipeline runs
+behind the run-tracking queries. All of them cover the whole tables.
 """
 
 from __future__ import annotations
@@ -50,23 +51,26 @@ def written_once(build: Callable[[SparkSession, str, str], None]) -> Callable[[S
     return path_of
 
 
+@written_once
+def bronze_claims_table(spark: SparkSession, sf_dir: str, path: str) -> None:
+    writers.write_table(recipes.raw_claims(spark, sf_dir), path)
+
+
 @written_once
 def silver_claims_table(spark: SparkSession, sf_dir: str, path: str) -> None:
-    claims = silver.transform_claims(recipes.raw_claims(spark, sf_dir), RUN_TS)
-    writers.write_table(claims, path)
+    writers.write_table(silver.transform_claims(raw(spark, sf_dir), RUN_TS), path)
 
 
 @written_once
 def tracked_runs(spark: SparkSession, sf_dir: str, path: str) -> None:
     """Two pipeline runs: the first load alone, then everything loaded by then."""
-    raw = recipes.raw_claims(spark, sf_dir)
     for run_seq, loaded_until in ((1, recipes.FIRST_LOAD), (2, recipes.SECOND_LOAD)):
-        load = raw.where(F.col("_ingested_at") <= F.lit(loaded_until).cast("timestamp_ntz"))
+        load = raw(spark, sf_dir).where(F.col("_ingested_at") <= F.lit(loaded_until).cast("timestamp_ntz"))
         run_pipeline(spark, load, path, run_seq=run_seq, run_ts=RUN_TS, csv_exports=False)
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return recipes.raw_claims(spark, sf_dir)
+    return readers.read_table(spark, bronze_claims_table(spark, sf_dir))
 
 
 def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from claimloom.operators import bronze, gold, quality, silver
 from claimloom.operators.runs import RunLog, quality_metrics
 from claimloom.sources.readers import read_table
-from claimloom.sources.writers import export_csv, run_path, write_run
+from claimloom.sources.writers import export_csv, run_path, sizes_mb, write_run
 
 BRONZE, SILVER, GOLD, SAVE = (
     "BRONZE_INGESTION", "SILVER_TRANSFORMATION", "GOLD_METRICS_GENERATION", "SAVE_OUTPUTS",
@@ -69,7 +69,7 @@ def run_pipeline(
         with log.phase(BRONZE) as metrics:
             metrics.update(_write_bronze(raw, run_path(lake.bronze(), run_seq), source_name))
         loaded = read_table(spark, run_path(lake.bronze(), run_seq))
-        log.artifact("bronze", "claims", lake.bronze(), metrics["row_count"], loaded.columns)
+        artifacts = [("bronze", "claims", run_path(lake.bronze(), run_seq), metrics["row_count"], loaded.columns)]
 
         with log.phase(SILVER) as metrics:
             cleaned = silver.transform_claims(loaded, run_ts)
@@ -83,15 +83,17 @@ def run_pipeline(
                 column_count=len(cleaned.columns),
             )
         claims = read_table(spark, run_path(lake.silver(), run_seq))
-        log.artifact("silver", "claims", lake.silver(), rows, claims.columns)
+        artifacts.append(("silver", "claims", run_path(lake.silver(), run_seq), rows, claims.columns))
 
         with log.phase(GOLD) as metrics:
             tables = gold.all_metrics(claims)
             counts = _write_all(tables, lambda name, table: write_run(table, lake.gold(name), run_seq))
             metrics.update(total_rows=sum(counts.values()), num_tables=len(counts))
             metrics.update({f"{name}_rows": n for name, n in counts.items()})
-        for name, table in tables.items():
-            log.artifact("gold", name, lake.gold(name), counts[name], table.columns)
+        artifacts += [("gold", n, run_path(lake.gold(n), run_seq), counts[n], t.columns) for n, t in tables.items()]
+        sizes = sizes_mb(spark, [path for _, _, path, _, _ in artifacts])
+        for layer, name, path, row_count, columns in artifacts:
+            log.artifact(layer, name, path, row_count, columns, sizes[path])
 
         if csv_exports:
             with log.phase(SAVE) as metrics:

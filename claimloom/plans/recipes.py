@@ -30,27 +30,20 @@ def _null_if(condition: Column, value: Column) -> Column:
     return F.when(~condition, value)
 
 
+def _pick(position: Column, *choices: str) -> Column:
+    """The choice at a zero-based position."""
+    return F.get(F.array(*[F.lit(c) for c in choices]), position.cast("int"))
+
+
 def _written_date(date: Column, k: Column) -> Column:
-    form = k % 7
-    return (
-        F.when(form == 0, F.date_format(date, "MM/dd/yyyy"))
-        .when(form == 1, F.date_format(date, "MM-dd-yyyy"))
-        .when(form == 2, F.date_format(date, "yyyyMMdd"))
-        .otherwise(F.date_format(date, "yyyy-MM-dd"))
-    )
+    forms = _pick(k % 7, "$2/$3/$1", "$2-$3-$1", "$1$2$3", *["$1-$2-$3"] * 4)
+    return F.regexp_replace(date.cast("string"), F.lit(r"^(\d+)-(\d+)-(\d+)$"), forms)
 
 
 def _written_amount(cents: Column, k: Column) -> Column:
-    units = F.floor(cents / 100)
-    decimals = F.concat(F.lit("."), _padded(cents % 100, 2))
-    plain = F.concat(units.cast("string"), decimals)
-    grouped = F.concat(F.floor(units / 1000).cast("string"), F.lit(","), _padded(units % 1000, 3), decimals)
-    return (
-        F.when(k % 67 == 4, F.lit("n/a"))
-        .when(k % 4 == 1, F.concat(F.lit("$"), plain))
-        .when((k % 4 == 2) & (cents >= 100000), grouped)
-        .otherwise(plain)
-    )
+    grouped = F.format_number(cents / 100, 2)
+    dollars = F.concat(F.when(k % 4 == 1, "$").otherwise(""), F.translate(grouped, ",", ""))
+    return F.when(k % 67 == 4, "n/a").when(k % 4 == 2, grouped).otherwise(dollars)
 
 
 def raw_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,22 +57,15 @@ def raw_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.explode(F.sequence(F.lit(1), F.when(F.col("o_orderkey") % 20 == 3, 2).otherwise(1))).alias("v"),
     )
     k, ck, od = F.col("k"), F.col("ck"), F.col("od")
-    priority = F.left("priority", F.lit(1))
-    claim_type = (
-        F.when(k % 41 == 2, "Travel")
-        .when(priority == "1", "Automobile")
-        .when(priority == "2", " HOME ")
-        .when(priority == "3", "medical")
-        .when(priority == "4", "Life")
-        .when(priority == "5", "disab")
+    types = ("Automobile", " HOME ", "medical", "Life", "disab")
+    claim_type = F.when(k % 41 == 2, "Travel").otherwise(
+        _pick(F.left("priority", F.lit(1)).cast("int") - 1, *types)
     )
     status = (
         F.when(F.col("v") == 2, "Approve")
         .when(k % 43 == 8, "RESOLVED")
         .when(k % 6 == 0, "rejected")
-        .when(F.col("order_status") == "F", "Closed")
-        .when(F.col("order_status") == "O", " pend")
-        .when(F.col("order_status") == "P", "In_Review")
+        .otherwise(_pick(F.position("order_status", F.lit("FOP")) - 1, "Closed", " pend", "In_Review"))
     )
     duration = ((k * 37) % 199 - 10).cast("int")
     submitted = F.when(k % 103 == 10, F.lit("not a date")).otherwise(_written_date(od, k))

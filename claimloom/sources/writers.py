@@ -63,10 +63,12 @@ def write_run(df: DataFrame, path: str, run_seq: int, *, metrics: Sequence[Colum
 def read_as_of_run(spark: SparkSession, path: str, run_seq: int | None = None) -> DataFrame:
     """The table as the latest run up to ``run_seq`` left it.
 
-    The wanted run is a scalar subquery on the partition column, so only its folder is read.
+    The wanted run is a scalar subquery over the file listing (a run may have left no rows) and
+    filters the partition column, so only that run's folder is read.
     """
     runs = spark.read.option("mergeSchema", True).parquet(path)
-    earlier = runs if run_seq is None else runs.where(F.col(RUN_COLUMN) <= F.lit(int(run_seq)))
+    files = spark.read.format("binaryFile").load(path).select(RUN_COLUMN)
+    earlier = files if run_seq is None else files.where(F.col(RUN_COLUMN) <= F.lit(int(run_seq)))
     wanted = earlier.agg(F.max(RUN_COLUMN)).scalar()
     return runs.where(F.col(RUN_COLUMN) == wanted)
 
@@ -77,3 +79,11 @@ def append_batches(*batches: DataFrame) -> DataFrame:
     for batch in rest:
         first = first.unionByName(batch, allowMissingColumns=True)
     return first
+
+
+def sizes_mb(spark: SparkSession, paths: Sequence[str]) -> dict[str, float]:
+    """Size of each folder's data files, from one listing; no file is opened."""
+    files = spark.read.format("binaryFile").load([f"{p.rstrip('/')}/part-*" for p in paths])
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    sizes = files.groupBy(folder.alias("folder")).agg(F.sum("length").alias("bytes")).collect()
+    return {p: sum(r.bytes for r in sizes if r.folder.endswith(p.rstrip("/"))) / 2**20 for p in paths}
