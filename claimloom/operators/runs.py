@@ -153,3 +153,17 @@ def run_delta(metrics: DataFrame) -> DataFrame:
         .withColumn("delta", F.col("value") - F.col("previous_value"))
         .withColumn("changed", F.coalesce(F.col("delta") != 0, F.lit(False)))
     )
+
+
+def run_summary(metrics: DataFrame, params: DataFrame) -> DataFrame:
+    """One row per run: final status, phases, failed phases and seconds of work."""
+    phase = F.when(F.col("phase") != RUN, F.col("phase"))
+    failed = F.when(F.col("status") == "FAILED", phase)
+    seconds = F.when((F.col("phase") == RUN) & (F.col("metric") == "duration_seconds"), F.col("value"))
+    per_run = metrics.groupBy("run_id", "run_seq").agg(
+        F.count_distinct(phase).alias("phases"),
+        F.count_distinct(failed).alias("failed_phases"),
+        F.max(seconds).alias("total_seconds"),
+    )
+    status = params.where(F.col("name") == "final_status").select("run_id", F.col("value").alias("final_status"))
+    return per_run.join(status, "run_id", "left")

@@ -109,6 +109,14 @@ def bronze_csv_typed(spark, sf_dir):
     return typed.withColumn("claim_amount", F.col("claim_amount").cast("double"))
 
 
+@query
+def bronze_customers_csv(spark, sf_dir):
+    path = scratch_path(spark, "customers-csv")
+    writers.export_csv(recipes.raw_customers(spark, sf_dir), path)
+    typed = readers.read_csv(spark, path, SCHEMAS["customers"])
+    return typed.withColumn("customer_income", F.col("customer_income").cast("double"))
+
+
 @query
 def bronze_json_scan(spark, sf_dir):
     path = scratch_path(spark, "notes-json")
@@ -410,6 +418,13 @@ def run_delta(spark, sf_dir):
     return runs.run_delta(metric_rows(spark, sf_dir))
 
 
+@query
+def run_throughput(spark, sf_dir):
+    rates = runs.throughput(run_table(spark, sf_dir, "run_metrics"))
+    measured = (F.col("records_per_second") > 0).alias("measured")
+    return rates.select("run_seq", "phase", F.col("row_count").cast("bigint").alias("row_count"), measured)
+
+
 @query
 def run_artifacts(spark, sf_dir):
     return run_table(spark, sf_dir, "run_artifacts").select(

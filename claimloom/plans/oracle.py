@@ -362,6 +362,7 @@ ORACLE: dict[str, str] = {
             cast(try_strptime(submitted_date, '%Y-%m-%d') as date) as submitted_date,
             cast(try_strptime(resolution_date, '%Y-%m-%d') as date) as resolution_date)
         from records""",
+    "bronze_customers_csv": "select * from customers",
     "bronze_json_scan": "select * from notes",
     "bronze_notes": "select * from notes",
     "bronze_metadata": """select claim_id, policy_id, 'orders' as _ingested_from, 'claims_csv' as _source_name,
@@ -469,6 +470,11 @@ ORACLE: dict[str, str] = {
             coalesce(value <> previous_value, false) as changed
         from (select *, lag(value) over (partition by metric_key order by run_seq) as previous_value
             from run_metrics)""",
+    "run_throughput": """select cast(1 as integer) as run_seq, 'BRONZE_INGESTION' as phase, count(*) as row_count,
+            true as measured from first_load
+        union all select 1, 'SILVER_TRANSFORMATION', count(*), true from first_silver
+        union all select 2, 'BRONZE_INGESTION', count(*), true from raw
+        union all select 2, 'SILVER_TRANSFORMATION', count(*), true from silver""",
     "run_artifacts": _artifact_rows(1, "first_load", "first_silver")
     + "\nunion all "
     + _artifact_rows(2, "raw", "silver"),

@@ -15,9 +15,11 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimloom.functions.vocabulary import TRANSFORMATION_VERSION
 from claimloom.operators import bronze, gold, quality, silver
 from claimloom.operators.runs import RunLog, quality_metrics
-from claimloom.sources.readers import read_table
+from claimloom.schemas import SCHEMAS, as_strings
+from claimloom.sources.readers import missing_to_null, read_csv, read_table
 from claimloom.sources.writers import export_csv, run_path, sizes_mb, write_run
 
 BRONZE, SILVER, GOLD, SAVE = (
@@ -47,6 +49,11 @@ class Lake:
         return f"{self.root}/runs"
 
 
+def read_claims_csv(spark: SparkSession, path: str, *, multi_line: bool = False) -> DataFrame:
+    """Raw claims as text, cell texts that stand for "missing" as null; the input of a run."""
+    return missing_to_null(read_csv(spark, path, as_strings(SCHEMAS["claims"]), multi_line=multi_line))
+
+
 def run_pipeline(
     spark: SparkSession,
     raw: DataFrame,
@@ -83,6 +90,13 @@ def run_pipeline(
                 column_count=len(cleaned.columns),
             )
         claims = read_table(spark, run_path(lake.silver(), run_seq))
+        log.params(
+            {
+                "silver_transformation_version": TRANSFORMATION_VERSION,
+                "silver_input_columns": ",".join(loaded.columns),
+                "silver_output_columns": ",".join(cleaned.columns),
+            }
+        )
         artifacts.append(("silver", "claims", run_path(lake.silver(), run_seq), rows, claims.columns))
 
         with log.phase(GOLD) as metrics:

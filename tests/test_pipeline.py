@@ -6,7 +6,7 @@ from claimloom.operators import gold, runs
 from claimloom.operators.bronze import EmptySource
 from claimloom.plans import recipes
 from claimloom.plans.catalog import RUN_TS
-from claimloom.plans.pipeline import GOLD, SAVE, Lake, run_pipeline
+from claimloom.plans.pipeline import GOLD, SAVE, Lake, read_claims_csv, run_pipeline
 from claimloom.schemas import CLAIM_COLUMNS
 from claimloom.sources import readers, writers
 
@@ -61,7 +61,13 @@ def test_reports_over_runs(spark, lake):
     rates = {r.phase: r.records_per_second for r in runs.throughput(table.where("run_seq = 1")).collect()}
     assert rates["BRONZE_INGESTION"] > 0
     params = readers.read_table(spark, f"{lake.runs()}/run_params").where("run_seq = 1").collect()
-    assert {r.name for r in params} == {"bronze_path", "silver_path", "gold_path", "shuffle", "final_status"}
+    assert {r.name for r in params} == {
+        "bronze_path", "silver_path", "gold_path", "shuffle", "final_status", "silver_transformation_version",
+        "silver_input_columns", "silver_output_columns",
+    }
+    summary = runs.run_summary(table, readers.read_table(spark, f"{lake.runs()}/run_params")).collect()
+    assert sorted((r.run_seq, r.final_status, r.failed_phases) for r in summary) == [(1, "SUCCESS", 0), (2, "SUCCESS", 0)]
+    assert all(r.total_seconds > 0 for r in summary)
     artifacts = readers.read_table(spark, f"{lake.runs()}/run_artifacts").where("run_seq = 1").collect()
     assert len(artifacts) == 8 and all(r.row_count > 0 and r.size_mb > 0 for r in artifacts)
 
@@ -89,3 +95,26 @@ def test_failed_run_is_recorded(spark, tmp_path, sf_dir):
     params = readers.read_table(spark, f"{lake.runs()}/run_params").collect()
     assert ("final_status", "FAILED") in {(r.name, r.value) for r in params}
     assert any(r.name == "error" and "no records" in r.value for r in params)
+
+
+def test_run_from_a_csv_file(spark, tmp_path):
+    """Plain cells, dirty cells, a repeated claim and a quoted comma."""
+    lines = [
+        ",".join(CLAIM_COLUMNS),
+        "CLM-1,POL-1,Ann,Auto,25000.5,Rear end,2025-01-05,2025-01-12,APPROVED",
+        'CLM-2,POL-2,"Lee, Bo",home,"$1,250.00",,01/20/2025,,PENDING',
+        "CLM-3,POL-3,Cy,Health,NaN,x,2025-02-01,2025-03-15,RESOLVED",
+        "CLM-1,POL-1,Ann again,Auto,1,y,2025-01-05,,DENIED",
+        "NA,POL-5,Dee,Life,10,z,2025-01-01,,PENDING",
+    ]
+    source = tmp_path / "claims.csv"
+    source.write_text("\n".join(lines) + "\n")
+    run_pipeline(spark, read_claims_csv(spark, str(source)), str(tmp_path / "lake"), csv_exports=False)
+    lake = Lake(str(tmp_path / "lake"))
+    rows = {r.claim_id: r for r in writers.read_as_of_run(spark, lake.silver()).collect()}
+    assert set(rows) == {"CLM-1", "CLM-2", "CLM-3"}
+    assert (rows["CLM-1"].customer_name, rows["CLM-1"].days_to_resolution) == ("Ann", 7)  # first in file order
+    assert (rows["CLM-2"].claim_amount, rows["CLM-2"].description) == (1250.0, "NO_DESCRIPTION")
+    assert (rows["CLM-3"].claim_amount, rows["CLM-3"].status) == (0.0, "unknown")
+    high = writers.read_as_of_run(spark, lake.gold("high_value_claims")).collect()
+    assert [r.claim_id for r in high] == ["CLM-1"]
