@@ -12,6 +12,7 @@ import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -93,8 +94,10 @@ class RunLog:
             ("run_artifacts", ARTIFACTS_SCHEMA, self._artifacts),
         ):
             if rows:
-                frame = spark.createDataFrame(rows, schema).coalesce(1)
-                frame.write.mode("append").parquet(f"{path.rstrip('/')}/{table}")
+                types = dict(column.split() for column in schema.split(", "))
+                cells = pa.table([list(column) for column in zip(*rows)], names=list(types))
+                frame = spark.createDataFrame(cells).select(*[F.col(c).cast(t).alias(c) for c, t in types.items()])
+                frame.coalesce(1).write.mode("append").parquet(f"{path.rstrip('/')}/{table}")
 
 
 def quality_metrics(report: DataFrame, layer: str, run_id: str, run_seq: int) -> DataFrame:

@@ -100,10 +100,14 @@ def run_pipeline(
         artifacts.append(("silver", "claims", run_path(lake.silver(), run_seq), rows, claims.columns))
 
         with log.phase(GOLD) as metrics:
-            tables = gold.all_metrics(claims)
-            counts = _write_all(tables, lambda name, table: write_run(table, lake.gold(name), run_seq))
+            counts = _side_by_side(
+                spark,
+                gold.GOLD_TABLES,
+                lambda name, build: write_run(build(claims), lake.gold(name), run_seq),
+            )
             metrics.update(total_rows=sum(counts.values()), num_tables=len(counts))
             metrics.update({f"{name}_rows": n for name, n in counts.items()})
+        tables = {name: read_table(spark, run_path(lake.gold(name), run_seq)) for name in counts}
         artifacts += [("gold", n, run_path(lake.gold(n), run_seq), counts[n], t.columns) for n, t in tables.items()]
         sizes = sizes_mb(spark, [path for _, _, path, _, _ in artifacts])
         for layer, name, path, row_count, columns in artifacts:
@@ -111,9 +115,11 @@ def run_pipeline(
 
         if csv_exports:
             with log.phase(SAVE) as metrics:
-                written = {n: read_table(spark, run_path(lake.gold(n), run_seq)) for n in tables}
-                written["claims_silver"] = claims
-                saved = _write_all(written, lambda name, table: export_csv(table, lake.export(name, run_seq)))
+                saved = _side_by_side(
+                    spark,
+                    {**tables, "claims_silver": claims},
+                    lambda name, table: export_csv(table, lake.export(name, run_seq)),
+                )
                 metrics.update(num_tables=len(saved))
     except Exception:
         log.finish("FAILED")
@@ -133,14 +139,8 @@ def _write_bronze(raw: DataFrame, path: str, source_name: str) -> dict:
     return bronze.write_gated(raw.withColumn("_source_name", F.lit(source_name)), path, source_name)
 
 
-def _write_all(tables: Mapping[str, DataFrame], write) -> dict[str, int]:
-    """Write independent tables side by side, so that a small one does not leave the cluster idle."""
-    spark = next(iter(tables.values())).sparkSession
-
-    def one(item: tuple[str, DataFrame]) -> tuple[str, int]:
-        name, table = item
-        return name, write(name, table)["row_count"]
-
-    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
-        futures = [pool.submit(inheritable_thread_target(spark)(one), item) for item in tables.items()]
-        return dict(f.result() for f in futures)
+def _side_by_side(spark: SparkSession, items: Mapping[str, object], write) -> dict[str, int]:
+    """Plan and write independent tables at once, so that a small one does not leave the cluster idle."""
+    task = inheritable_thread_target(spark)(lambda item: (item[0], write(*item)["row_count"]))
+    with ThreadPoolExecutor(max_workers=len(items)) as pool:
+        return dict(pool.map(task, items.items()))
