@@ -43,7 +43,7 @@ def monthly_resample(df: DataFrame, date: str = "submitted_date", amount: str =
         df.where(F.col(date).isNotNull())
         .groupBy(F.trunc(date, "month").alias("month"))
         .agg(
-            F.count("claim_id").alias("n"),
+            F.count(F.lit(1)).alias("n"),
             money.sum_cents(F.col(amount)).alias("cents"),
             money.sum_leftover(F.col(amount)).alias("leftover"),
         )

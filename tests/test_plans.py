@@ -46,11 +46,11 @@ def test_silver_has_one_shuffle_with_a_limit_before_it(bronze_table):
 @pytest.mark.parametrize(
     "table, columns",
     {
-        "status_breakdown": {"claim_id", "claim_amount", "status", "days_to_resolution"},
-        "claim_type_analysis": {"claim_id", "claim_type", "claim_amount", "status", "days_to_resolution"},
-        "resolution_time_analysis": {"claim_id", "claim_amount", "days_to_resolution"},
+        "status_breakdown": {"claim_amount", "status", "days_to_resolution"},
+        "claim_type_analysis": {"claim_type", "claim_amount", "status", "days_to_resolution"},
+        "resolution_time_analysis": {"claim_amount", "days_to_resolution"},
         "monthly_summary": {
-            "claim_id", "claim_amount", "status", "claim_amount_category", "days_to_resolution", "submitted_year",
+            "claim_amount", "status", "claim_amount_category", "days_to_resolution", "submitted_year",
             "submitted_month",
         },
     }.items(),
