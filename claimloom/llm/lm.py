@@ -11,6 +11,7 @@ into classes by length and ending. Bigrams are counted in a fixed number of hash
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -31,7 +32,7 @@ CELLS = 1 << 19
 TRUST = 5.0
 #: Added to every unigram count.
 ADDED = 0.01
-_CACHE_WORDS = 300_000
+_CACHE_WORDS = 500_000
 _GROUP_CHARS = 2_000_000
 
 
@@ -50,10 +51,9 @@ def word_counts(docs: DataFrame, *, text: str = "text") -> DataFrame:
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in text_groups(batches, read, 4 * _GROUP_CHARS):
-            seen: dict[bytes, int] = {}
+            seen: Counter[bytes] = Counter()
             for one in texts:
-                for word in tokens(one):
-                    seen[word] = seen.get(word, 0) + 1
+                seen.update(tokens(one))
             hashes = np.fromiter(map(_word_hash, seen), np.int64, len(seen))
             counts = np.fromiter(seen.values(), np.int64, len(seen))
             yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(counts)], names=["word", "n"])
@@ -68,27 +68,27 @@ def shared_vocabulary(docs: DataFrame, *, text: str = "text", size: int = VOCABU
     return np.sort(top.column("word").to_numpy().astype(np.int64))
 
 
-class Numbering:
-    """Numbers of words: place in the vocabulary, or after it the class of a word outside it."""
+class Numbering(dict):
+    """Numbers of words: place in the vocabulary, or after it the class of a word outside it.
+
+    The dictionary holds the number of every word met.
+    """
 
     def __init__(self, vocabulary: np.ndarray):
+        super().__init__()
         self.places = {int(h): i for i, h in enumerate(vocabulary)}
-        self.size = len(vocabulary)
-        self.known: dict[bytes, int] = {}
 
-    def _number(self, word: bytes) -> int:
+    def __missing__(self, word: bytes) -> int:
         place = self.places.get(_word_hash(word))
         if place is None:
-            place = self.size + zlib.crc32(b"%d %s" % (min(len(word), 32), word[-3:])) % CLASSES
-        if len(self.known) > _CACHE_WORDS:
-            self.known.clear()
-        self.known[word] = place
+            place = len(self.places) + zlib.crc32(b"%d %s" % (min(len(word), 32), word[-3:])) % CLASSES
+        if len(self) > _CACHE_WORDS:
+            self.clear()
+        self[word] = place
         return place
 
     def __call__(self, text: str) -> np.ndarray:
-        known = self.known
-        numbers = [known[w] if w in known else self._number(w) for w in tokens(text)]
-        return np.array(numbers, np.int64)
+        return np.array(list(map(self.__getitem__, tokens(text))), np.int64)
 
 
 def bigram_cells(numbers: np.ndarray) -> np.ndarray:
@@ -108,11 +108,10 @@ def model_counts(docs: DataFrame, vocabulary: np.ndarray, *, text: str = "text")
         number = Numbering(shared.value)
         table = np.zeros(unigrams + CELLS, np.int64)
         for _, texts in text_groups(batches, read, _GROUP_CHARS):
-            for one in texts:
-                numbers = number(one)
-                np.add.at(table, numbers, 1)
-                if len(numbers) > 1:
-                    np.add.at(table, unigrams + bigram_cells(numbers), 1)
+            parts = [number(one) for one in texts]
+            table[:unigrams] += np.bincount(np.concatenate(parts), minlength=unigrams)
+            cells = np.concatenate([bigram_cells(x) for x in parts])
+            table[unigrams:] += np.bincount(cells, minlength=CELLS)
         used = np.flatnonzero(table)
         yield pa.RecordBatch.from_arrays(
             [pa.array(used.astype(np.int32)), pa.array(table[used])], names=["place", "n"]
