@@ -30,36 +30,44 @@ HIDDEN = 24
 SAMPLE_ROWS = 50_000
 THRESHOLD = 0.7
 #: Units that entered the vocabulary of a task before it is begun anew (memory only; results do not change).
-_CACHE_UNITS = 300_000
-_GROUP_CHARS = 2_000_000
-_SHAPE_STEPS = ((re.compile(r"[^\W\d_]*[a-zß-öø-ÿ][^\W\d_]*"), "w"), (re.compile(r"[^\W\d_]+"), "W"), (re.compile(r"\d+"), "9"))
+_CACHE_UNITS = 500_000
+_GROUP_CHARS = 1_000_000
+_RUNS = re.compile(r"[^\W\d_]+|\d+")
 _SIGNS = re.compile(r"[\W_]+")
 _REPEAT_ROWS = tuple(zlib.crc32(unit) % ROWS for unit in (b"repeated", b"changed"))
 
 
-class Units:
-    """Rows of the vector table for a text: per token its letters' row, its shape's, and that of a repeat or none."""
+def _sign_of(run: re.Match) -> str:
+    """A run of letters or digits in a token's shape."""
+    return "9" if run[0][0].isdigit() else "W" if run[0].isupper() else "w"
 
-    def __init__(self):
-        self.known: dict[str, tuple[int, int]] = {}
 
-    def _rows(self, token: str) -> tuple[int, int]:
-        shape = token
-        for pattern, sign in _SHAPE_STEPS:
-            shape = pattern.sub(sign, shape)
-        core = _SIGNS.sub("", token).lower()
-        rows = zlib.crc32(b"w" + core.encode()) % ROWS, zlib.crc32(b"s" + shape.encode()) % ROWS
-        if len(self.known) > _CACHE_UNITS:
-            self.known.clear()
-        self.known[token] = rows
+class Units(dict):
+    """Rows of the vector table for a text: per token its letters' row, its shape's, and that of a repeat or none.
+
+    The dictionary holds both rows of every token met, packed into one number.
+    """
+
+    def __missing__(self, token: str) -> int:
+        body = token[:-1] if token[-1] in ",." else token
+        if body.isalpha() and not body.isupper():  # most tokens; what follows gives the same
+            core, shape = body, "w" + token[len(body) :]
+        else:
+            core, shape = _SIGNS.sub("", token), _RUNS.sub(_sign_of, token)
+        rows = zlib.crc32(b"w" + core.lower().encode()) % ROWS * ROWS + zlib.crc32(b"s" + shape.encode()) % ROWS
+        if len(self) > _CACHE_UNITS:
+            self.clear()
+        self[token] = rows
         return rows
 
     def __call__(self, text: str) -> np.ndarray:
-        known, tokens = self.known, text.split()
-        pairs = np.array([known.get(t) or self._rows(t) for t in tokens], np.int64).reshape(-1, 2)
-        again = np.zeros(len(pairs), bool)
-        again[1:] = (pairs[1:] == pairs[:-1]).all(axis=1)
-        return np.column_stack([pairs, np.where(again, *_REPEAT_ROWS)]).reshape(-1)
+        packed = np.array(list(map(self.__getitem__, text.split())), np.int64)
+        again = np.zeros(len(packed), bool)
+        again[1:] = packed[1:] == packed[:-1]
+        out = np.empty((len(packed), 3), np.int64)
+        out[:, 0], out[:, 1] = np.divmod(packed, ROWS)
+        out[:, 2] = np.where(again, *_REPEAT_ROWS)
+        return out.reshape(-1)
 
 
 def index_vectors() -> tuple[np.ndarray, np.ndarray]:
@@ -83,14 +91,16 @@ def context_table(docs: DataFrame, *, text: str = "text") -> np.ndarray:
         units, (places, signs) = Units(), index_vectors()
         table = np.zeros(ROWS * DIMENSIONS)
         for _, texts in text_groups(batches, read, _GROUP_CHARS):
-            for one in texts:
-                rows = units(one)
-                for distance in range(1, WINDOW + 1):
-                    left, right = rows[:-distance], rows[distance:]
-                    for at, beside in ((left, right), (right, left)):
-                        if len(at):
-                            cells = (at[:, None] * DIMENSIONS + places[beside]).ravel()
-                            table += np.bincount(cells, weights=signs[beside].ravel(), minlength=len(table))
+            parts = [units(one) for one in texts]
+            rows = np.concatenate(parts) if parts else np.empty(0, np.int64)
+            owner = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
+            for distance in range(1, WINDOW + 1):
+                together = owner[:-distance] == owner[distance:]
+                left, right = rows[:-distance][together], rows[distance:][together]
+                for at, beside in ((left, right), (right, left)):
+                    for k in range(NON_ZERO):
+                        cells = at * DIMENSIONS + places[beside, k]
+                        table += np.bincount(cells, weights=signs[beside, k], minlength=len(table))
         whole = table.astype(np.int64).reshape(ROWS, DIMENSIONS)
         used = np.flatnonzero(whole.any(axis=1))
         yield pa.RecordBatch.from_arrays(
