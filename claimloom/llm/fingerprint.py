@@ -23,7 +23,9 @@ _PAIR = (1 << 32) + 1
 _LOW = (1 << 32) - 1
 _WIDE_SALTS = (101, 202)
 _WIDE_MODULUS = (1 << 62) - 1
-BUCKET_BYTES = 16 << 20
+#: Text per range of ids, unless that made more ranges than ``MOST_RANGES``, whose borders are part of the plan.
+RANGE_BYTES = 2 << 20
+MOST_RANGES = 1 << 18
 
 
 def paragraphs(text: Column) -> Column:
@@ -130,17 +132,17 @@ def with_following(df: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
     """Rows of ``doc_id``, ``text`` with ``following``: ``text`` and the ``carried`` columns of the next row.
 
     Next by ascending id, and the first row follows the last. Rows are dealt into ranges of ids whose borders are ids of
-    rows (exact ranks do not matter), about ``BUCKET_BYTES`` of text each; the row at a border also goes to the
+    rows (exact ranks do not matter), about ``RANGE_BYTES`` of text each; the row at a border also goes to the
     range before, where it only follows. So each text moves once, and no task sorts more than a range. Null ids come
     first, repeated ids are ordered by text. A table of one row is followed by itself.
     """
     slim = df.select("doc_id", "text")
     volume = slim.agg(F.sum(F.octet_length("text")).alias("bytes"), F.min("doc_id").alias("first")).first()
-    ranges = max(1, math.ceil((volume["bytes"] or 0) / BUCKET_BYTES))
+    ranges = min(MOST_RANGES, max(1, math.ceil((volume["bytes"] or 0) / RANGE_BYTES)))
     steps = [i / ranges for i in range(1, ranges)]
     borders: list[int] = []
     if steps:
-        found = slim.agg(F.percentile_approx("doc_id", steps, max(10_000, 20 * ranges))).first()[0] or []
+        found = slim.agg(F.percentile_approx("doc_id", steps, max(10_000, 4 * ranges))).first()[0] or []
         borders = sorted({x for x in found if x > volume["first"]})
     has_null = not slim.where("doc_id is null").isEmpty()
     table = F.array(*[F.lit(x).cast("long") for x in borders]) if borders else F.array().cast("array<bigint>")
