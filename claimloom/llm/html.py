@@ -63,6 +63,8 @@ _ARTICLE_NAMES = frozenset("article-body article-content post-content entry-cont
 _NAME = re.compile(r"[\s]+")
 _PART = re.compile(r"[-_]+")
 _SPACE = re.compile(r"\s+")
+#: What is left of a tag where a page was cut off.
+_CUT_TAG = re.compile(r"<[A-Za-z/!][^<>]*\Z")
 
 
 def _is_furniture(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
@@ -202,7 +204,7 @@ def content_lines(page: Lines) -> np.ndarray:
 def main_text(html: str) -> list[str]:
     """The blocks of a page's main text, in page order."""
     page = Lines()
-    page.feed(html)
+    page.feed(_CUT_TAG.sub("", html))
     page.close()
     return [t for t, content in zip(page.texts, content_lines(page), strict=True) if content]
 
