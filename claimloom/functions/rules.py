@@ -15,11 +15,9 @@ from claimloom.functions import vocabulary as V
 
 _BLANK = f"[{V.BLANKS}]*"
 
-# The text of a number, digits optionally grouped by single underscores. The limits on
-# its length keep every match inside the range of a double.
-_WHOLE = r"\d(?:_?\d){0,199}"
-_DECIMALS = r"\d(?:_?\d)*"
-_NUMBER = rf"[+-]?(?:{_WHOLE}(?:\.(?:{_DECIMALS})?)?|\.{_DECIMALS})(?:[eE][+-]?\d{{1,2}})?"
+# The text of a number, digits optionally grouped by single underscores.
+_DIGITS = r"\d++(?:_\d++)*+"
+_NUMBER = rf"[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?\d++)?"
 
 # The shapes of a date text and how their parts line up as year, month, day.
 _DATE_SHAPES = "|".join(
@@ -56,11 +54,13 @@ def _rewritten(text: Column, shape: str, form: str) -> Column:
 def clean_amount(raw: Column) -> Column:
     """Money text to double: no currency sign or commas; anything unreadable becomes 0.0.
 
-    The pattern also bars what a cast would take for a number: infinity, nan, type suffixes.
+    The pattern also bars what a cast would take for a number (infinity, nan, type suffixes), and a number
+    beyond the range of a double reads as 0.0 too.
     """
     number = _matched(F.translate(raw.cast("string"), "$,", ""), f"({_NUMBER})")
     grouped = F.translate(number, "_", "")
-    return F.coalesce(number.try_cast("double"), grouped.try_cast("double"), F.lit(0.0))
+    value = F.coalesce(number.try_cast("double"), grouped.try_cast("double"))
+    return F.when(F.abs(value) < float("inf"), value).otherwise(F.lit(0.0))
 
 
 def clean_date(raw: Column) -> Column:

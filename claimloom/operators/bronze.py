@@ -6,6 +6,7 @@ import datetime as dt
 import logging
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +20,13 @@ class EmptySource(ValueError):
     """The source delivered no records; nothing has been written."""
 
 
+def _names_files(df: DataFrame) -> bool:
+    try:
+        return bool(df.select("_metadata.file_path").columns)
+    except AnalysisException:
+        return False
+
+
 def add_lineage(
     df: DataFrame,
     *,
@@ -30,7 +38,8 @@ def add_lineage(
     """Add ingest time, origin, source name and a record id.
 
     With ``keys`` the id is a digest of those columns, the same on every run; without, it is only
-    unique within this read. Without ``ingested_from`` each row names the file it came from.
+    unique within this read. Without ``ingested_from`` each row names the file it came from, or the source
+    where the frame was not read from files.
     """
     if keys:
         texts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
@@ -39,7 +48,10 @@ def add_lineage(
         record_id = F.monotonically_increasing_id()
     if ingested_at is None:
         ingested_at = dt.datetime.now(dt.timezone.utc)
-    origin = F.col("_metadata.file_path") if ingested_from is None else F.lit(ingested_from)
+    if ingested_from is not None:
+        origin = F.lit(ingested_from)
+    else:
+        origin = F.col("_metadata.file_path") if _names_files(df) else F.lit(source_name)
     values = (F.lit(ingested_at).cast("timestamp"), origin, F.lit(source_name), record_id)
     return df.withColumns(dict(zip(LINEAGE_COLUMNS, values)))
 

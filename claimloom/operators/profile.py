@@ -80,9 +80,11 @@ def amount_quantiles(
 def flag_duplicates(df: DataFrame, key: str, row_id: str) -> DataFrame:
     """Mark every row of a key but the one with the lowest row id; null keys are equal.
 
-    The first ids come out of a combined aggregate, and rows meet them on the unique row id: a
-    frequent key is never gathered in one task, as a window over the key would do.
+    The first ids come out of a combined aggregate with a row per key, and rows meet them on key and row
+    id: no row is multiplied, even if ids repeat, and a frequent key is never gathered in one task, as a window
+    over the key would do.
     """
-    first = df.groupBy(key).agg(F.min(row_id).alias("__first")).select("__first")
-    marked = df.join(first, F.col(row_id) == F.col("__first"), "left")
-    return marked.withColumn("is_duplicate", F.col("__first").isNull()).drop("__first")
+    first = df.groupBy(key).agg(F.min(row_id).alias("__first")).withColumnRenamed(key, "__key")
+    same = F.col(row_id).eqNullSafe(F.col("__first")) & F.col(key).eqNullSafe(F.col("__key"))
+    marked = df.join(first.withColumn("__found", F.lit(True)), same, "left")
+    return marked.withColumn("is_duplicate", F.col("__found").isNull()).drop("__first", "__key", "__found")

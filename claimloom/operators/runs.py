@@ -132,12 +132,20 @@ def throughput(metrics: DataFrame) -> DataFrame:
     )
 
 
+def latest_runs(metrics: DataFrame) -> DataFrame:
+    """The metrics of the latest run of every sequence number: tables of a rerun replace the earlier ones."""
+    ends = metrics.groupBy("run_seq", "run_id").agg(F.max("recorded_at").alias("at"))
+    latest = ends.groupBy("run_seq").agg(F.max(F.struct("at", "run_id"))["run_id"].alias("run_id"))
+    return metrics.join(latest.select("run_id"), "run_id", "left_semi")
+
+
 def run_report(metrics: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per run, one column per metric key, with the run's worst status.
+    """One row per run, one column per metric key, with the run's own status (quality checks have theirs).
 
-    The keys are given, so that pivoting needs no job of its own to find them.
+    The keys are given, so that pivoting needs no job of its own to find them. A rerun replaces the run before it.
     """
-    status = F.min("status").over(Window.partitionBy("run_id"))
+    metrics = latest_runs(metrics)
+    status = F.max(F.when(F.col("phase") == RUN, F.col("status"))).over(Window.partitionBy("run_id"))
     return (
         metrics.withColumns({"metric_key": _key(), "status": status})
         .groupBy("run_id", "run_seq", "status")
@@ -147,7 +155,8 @@ def run_report(metrics: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def run_delta(metrics: DataFrame) -> DataFrame:
-    """Every metric beside its value in the run before, per metric, with the change."""
+    """Every metric beside its value in the run before, per metric, with the change. Reruns count once."""
+    metrics = latest_runs(metrics)
     by_metric = Window.partitionBy("metric_key").orderBy("run_seq")
     previous = F.lag("value").over(by_metric)
     return (

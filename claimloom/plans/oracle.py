@@ -56,8 +56,8 @@ _CTES = {
             od + cast((k * 37) % 199 - 10 as integer) as rd
         from versions""",
     "raw": f"""
-        select case when k % 211 <> 7 then 'CLM-' || lpad(cast(k as varchar), 9, '0') end as claim_id,
-            case when k % 97 <> 5 then 'POL-' || lpad(cast(ck as varchar), 6, '0') end as policy_id,
+        select case when k % 211 <> 7 then 'CLM-' || lpad(cast(k as varchar), cast(greatest(9, length(cast(k as varchar))) as integer), '0') end as claim_id,
+            case when k % 97 <> 5 then 'POL-' || lpad(cast(ck as varchar), cast(greatest(6, length(cast(ck as varchar))) as integer), '0') end as policy_id,
             'Customer ' || cast(ck as varchar) as customer_name,
             case when k % 53 = 1 then null when k % 41 = 2 then 'Travel'
                 else case left(priority, 1) when '1' then 'Automobile' when '2' then ' HOME '
@@ -85,8 +85,8 @@ _CTES = {
         select * from keyed
         qualify row_number() over (partition by claim_id order by _ingested_at desc, _record_id) = 1""",
     "customers": """
-        select 'CUST-' || lpad(cast(c_custkey as varchar), 6, '0') as customer_id,
-            'POL-' || lpad(cast(c_custkey as varchar), 6, '0') as policy_id, c_name as customer_name,
+        select 'CUST-' || lpad(cast(c_custkey as varchar), cast(greatest(6, length(cast(c_custkey as varchar))) as integer), '0') as customer_id,
+            'POL-' || lpad(cast(c_custkey as varchar), cast(greatest(6, length(cast(c_custkey as varchar))) as integer), '0') as policy_id, c_name as customer_name,
             case when c_custkey % 17 = 3 then null when c_custkey % 13 = 2 then 'no-at-sign.example'
                 when c_custkey % 11 = 1 then 'nodot@localhost'
                 else ' User' || cast(c_custkey as varchar) || '@Example.COM ' end as customer_email,
@@ -103,8 +103,8 @@ _CTES = {
             date '2020-01-01' + cast(c_custkey % 1461 as integer) as signup_date
         from customer""",
     "notes": """
-        select 'CLM-' || lpad(cast(event_id // 2 as varchar), 9, '0') as claim_id,
-            'NOTE-' || lpad(cast(event_id as varchar), 8, '0') as note_id,
+        select 'CLM-' || lpad(cast(event_id // 2 as varchar), cast(greatest(9, length(cast(event_id // 2 as varchar))) as integer), '0') as claim_id,
+            'NOTE-' || lpad(cast(event_id as varchar), cast(greatest(8, length(cast(event_id as varchar))) as integer), '0') as note_id,
             'Adjuster ' || cast(user_id as varchar) as adjuster_name, 'observed ' || event_type as note_text,
             cast(ts as date) as note_date,
             case when event_type = 'error' then 'Y' when event_type in ('click', 'view') then 'N'

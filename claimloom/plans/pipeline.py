@@ -60,7 +60,7 @@ def run_pipeline(
     root: str,
     *,
     run_seq: int = 1,
-    run_ts: dt.datetime | str = "2025-01-31 00:00:00",
+    run_ts: dt.datetime | str | None = None,
     source_name: str = "claims_csv",
     csv_exports: bool = True,
     quality_report: bool = False,
@@ -68,8 +68,10 @@ def run_pipeline(
 ) -> RunLog:
     """Run all phases; the first failing phase is logged and stops the run.
 
-    ``raw`` that already carries lineage columns (several loads in one frame) keeps them.
+    ``raw`` that already carries lineage columns (several loads in one frame) keeps them. Without ``run_ts``
+    the rows are stamped with the time at which the run began.
     """
+    run_ts = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) if run_ts is None else run_ts
     lake, log = Lake(root.rstrip("/")), RunLog(run_seq)
     log.params({"bronze_path": lake.bronze(), "silver_path": lake.silver(), "gold_path": lake.gold(""), **(params or {})})
     try:
@@ -136,7 +138,8 @@ def run_pipeline(
 def _write_bronze(raw: DataFrame, path: str, source_name: str) -> dict:
     if "_ingested_at" not in raw.columns:
         return bronze.ingest(raw, path, source_name=source_name)
-    return bronze.write_gated(raw.withColumn("_source_name", F.lit(source_name)), path, source_name)
+    named = raw if "_source_name" in raw.columns else raw.withColumn("_source_name", F.lit(source_name))
+    return bronze.write_gated(named, path, source_name)
 
 
 def _side_by_side(spark: SparkSession, items: Mapping[str, object], write) -> dict[str, int]:

@@ -23,7 +23,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _padded(number: Column, width: int) -> Column:
-    return F.lpad(number.cast("string"), width, "0")
+    """Leading zeros up to ``width`` digits; a longer number stays whole."""
+    digits = number.cast("string")
+    return F.lpad(digits, F.greatest(F.lit(width), F.char_length(digits)), F.lit("0"))
 
 
 def _null_if(condition: Column, value: Column) -> Column:

@@ -3,7 +3,6 @@
 import datetime as dt
 import math
 import random
-import re
 
 from pyspark.sql import functions as F
 
@@ -16,8 +15,6 @@ LATER_FORMS = ["%d-%m-%Y", "%Y/%m/%d"]
 
 def expected_amount(text):
     text = text.replace("$", "").replace(",", "").strip()
-    if re.search(r"[eE][+-]?\d{3,}$", text):
-        return 0.0
     try:
         number = float(text)
     except ValueError:
