@@ -60,7 +60,8 @@ def clean_amount(raw: Column) -> Column:
     number = _matched(F.translate(raw.cast("string"), "$,", ""), f"({_NUMBER})")
     grouped = F.translate(number, "_", "")
     value = F.coalesce(number.try_cast("double"), grouped.try_cast("double"))
-    return F.when(F.abs(value) < float("inf"), value).otherwise(F.lit(0.0))
+    # A finite number is its own remainder by infinity, and infinity's is nan: one use of the long expression.
+    return F.coalesce(F.nanvl(value % F.lit(float("inf")), F.lit(0.0)), F.lit(0.0))
 
 
 def clean_date(raw: Column) -> Column:
