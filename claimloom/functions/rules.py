@@ -25,15 +25,15 @@ _DATE_SHAPES = "|".join(
         r"(\d{4})-(\d{1,2})-(\d{1,2})",
         r"(\d{1,2})([-/])(\d{1,2})\5(\d{4})",
         r"(\d{4})(1[0-2]|0[1-9]|[1-9])(3[01]|[12]\d|0[1-9]|[1-9])",
-        r"(\d{4})/(\d{1,2})/(\d{1,2})",
+        r"(\d{4})([/.])(\d{1,2})\12(\d{1,2})",
     )
 )
-_YEAR_MONTH_DAY = "$1$7$8$11-$2$4$9$12-$3$6$10$13"
+_YEAR_MONTH_DAY = "$1$7$8$11-$2$4$9$13-$3$6$10$14"
 _DAY_FIRST = r"(\d{1,2})([-/])(\d{1,2})\2(\d{4})"
 _DAY_FIRST_PARTS = "$4-$3-$1"
 _WITH_TIME = r"(\d{4}-\d{1,2}-\d{1,2}[T ]\d{1,2}:\d{2}.*?)"
 # Patterns with a month name, tried last and only for texts that hold a letter.
-_NAMED_MONTH = "[MMMM d, yyyy][MMM d, yyyy][d MMM yyyy][d MMMM yyyy]"
+_NAMED_MONTH = "[MMMM d[,] yyyy][MMM d[,] yyyy][d MMM yyyy][d MMMM yyyy][d-MMM-yyyy][ H:mm[:ss]]"
 
 
 def strip(text: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimloom.functions.predicates import all_present
 from claimloom.schemas import LINEAGE_COLUMNS
 from claimloom.sources.writers import write_table
 
@@ -27,6 +28,10 @@ def _names_files(df: DataFrame) -> bool:
         return False
 
 
+def _marked(text: Column) -> Column:
+    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+
 def add_lineage(
     df: DataFrame,
     *,
@@ -37,13 +42,12 @@ def add_lineage(
 ) -> DataFrame:
     """Add ingest time, origin, source name and a record id.
 
-    With ``keys`` the id is a digest of those columns, the same on every run; without, it is only
-    unique within this read. Without ``ingested_from`` each row names the file it came from, or the source
+    With ``keys`` the id is a digest of those columns, the same on every run and as unique as they are: each
+    text goes in with its length, a null as a mark of its own. Without, it is only unique within this read. Without ``ingested_from`` each row names the file it came from, or the source
     where the frame was not read from files.
     """
     if keys:
-        texts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
-        record_id = F.sha2(F.concat_ws("|", *texts), 256)
+        record_id = F.sha2(F.concat(*[_marked(F.col(k).cast("string")) for k in keys]), 256)
     else:
         record_id = F.monotonically_increasing_id()
     if ingested_at is None:
@@ -86,21 +90,27 @@ def gate(df: DataFrame) -> DataFrame:
     )
 
 
-def ingest(df: DataFrame, path: str, *, source_name: str, **lineage) -> dict:
+def _keyed(df: DataFrame, keys: Sequence[str]) -> Column:
+    have_all = all_present(keys) if set(keys) <= set(df.columns) else F.lit(False)
+    return F.count_if(have_all).alias("__keyed")
+
+
+def ingest(df: DataFrame, path: str, *, source_name: str, keys_of: Sequence[str] = (), **lineage) -> dict:
     """Stamp, gate and write a load."""
-    return write_gated(add_lineage(df, source_name=source_name, **lineage), path, source_name)
+    return write_gated(add_lineage(df, source_name=source_name, **lineage), path, source_name, keys_of)
 
 
-def write_gated(df: DataFrame, path: str, source_name: str) -> dict:
+def write_gated(df: DataFrame, path: str, source_name: str, keys_of: Sequence[str] = ()) -> dict:
     """Write a stamped load: one look for a first row, then one job.
 
-    The null counts for the gate's warnings are observed while writing.
+    The null counts for the gate's warnings, and the rows that have all of ``keys_of``, are observed while writing.
     """
     if df.isEmpty():
         raise EmptySource(f"no records found in {source_name}")
     columns = [c for c in df.columns if c not in LINEAGE_COLUMNS]
-    counts = write_table(df, path, metrics=null_counts(columns, "null_"))
+    counts = write_table(df, path, metrics=[*null_counts(columns, "null_"), _keyed(df, keys_of)])
     all_null = [c for c in columns if counts["null_" + c] == counts["row_count"]]
     if all_null:
         log.warning("columns with no value at all in %s: %s", source_name, all_null)
-    return {"row_count": counts["row_count"], "column_count": len(df.columns), "all_null_columns": all_null}
+    keyed = {"keyed_rows": counts["__keyed"]} if keys_of else {}
+    return {"row_count": counts["row_count"], "column_count": len(df.columns), "all_null_columns": all_null, **keyed}

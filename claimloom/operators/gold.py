@@ -33,15 +33,14 @@ def _per_day(df: DataFrame, keys: Sequence[str], *extra: Column) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.count(amount).alias("n_amount"),
-            money.sum_cents(amount).alias("cents"),
-            money.sum_leftover(amount).alias("leftover"),
+            *money.partial_sums(amount),
             *extra,
         )
     )
 
 
 def _total_amount() -> Column:
-    return money.total_of(F.col("cents"), F.col("leftover"))
+    return money.total_of()
 
 
 def _mean_amount() -> Column:
@@ -128,7 +127,8 @@ def status_breakdown(df: DataFrame) -> DataFrame:
             _mean_days().alias("avg_resolution_days"),
         )
     )
-    everything = df.where(F.col("status").isNotNull()).agg(F.count(F.lit(1))).scalar()
+    # One row per status: the total over them needs no second look at the claims.
+    everything = F.sum("num_claims").over(Window.partitionBy())
     return grouped.withColumn("pct_of_total", _percent(F.col("num_claims"), everything)).orderBy(
         F.col("num_claims").desc(), "status"
     )

@@ -46,23 +46,23 @@ def _skipped(df: DataFrame, check: str, subject: str, reason: str) -> DataFrame:
     )
 
 
+def _retention(b: Column, a: Column, tolerance: float) -> list[Column]:
+    none = b == 0
+    rate = F.try_divide(a, b)
+    status = F.when(none, F.lit("No input data")).otherwise(_status(rate >= tolerance))
+    return [
+        _metric(_ROW_COUNT, "rows", "rows_before", b),
+        _metric(_ROW_COUNT, "rows", "rows_after", F.when(none, F.lit(0)).otherwise(a)),
+        _metric(_ROW_COUNT, "rows", "rows_lost", F.when(~none, b - a)),
+        _metric(_ROW_COUNT, "rows", "retention_rate", F.bround(rate, 4), tolerance, status),
+    ]
+
+
 def row_retention(before: DataFrame, after: DataFrame, tolerance: float = V.RETENTION_TOLERANCE) -> DataFrame:
     """Share of rows that came through; judged unrounded, shown with four decimals."""
     rows = F.count(F.lit(1))
     counts = before.agg(rows.alias("b")).withColumn("a", after.agg(rows).scalar())
-    b, a = F.col("b"), F.col("a")
-    none = b == 0
-    rate = F.try_divide(a, b)
-    status = F.when(none, F.lit("No input data")).otherwise(_status(rate >= tolerance))
-    return _report(
-        counts,
-        [
-            _metric(_ROW_COUNT, "rows", "rows_before", b),
-            _metric(_ROW_COUNT, "rows", "rows_after", F.when(none, F.lit(0)).otherwise(a)),
-            _metric(_ROW_COUNT, "rows", "rows_lost", F.when(~none, b - a)),
-            _metric(_ROW_COUNT, "rows", "retention_rate", F.bround(rate, 4), tolerance, status),
-        ],
-    )
+    return _report(counts, _retention(F.col("b"), F.col("a"), tolerance))
 
 
 def default_null_limits(columns: Sequence[str]) -> dict[str, float]:
@@ -70,19 +70,36 @@ def default_null_limits(columns: Sequence[str]) -> dict[str, float]:
     return {c: V.NULL_PERCENT_KEYS if c in keys else V.NULL_PERCENT_OTHER for c in columns}
 
 
-def null_percentages(df: DataFrame, limits: Mapping[str, float] | None = None) -> DataFrame:
-    """Nulls per column against a limit; only a share above the limit is a violation. One pass."""
-    limits = default_null_limits(df.columns) if limits is None else limits
-    counted = df.agg(
-        F.count(F.lit(1)).alias("__rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns]
-    )
+def _count_nulls(df: DataFrame) -> DataFrame:
+    """One row, one pass: rows and nulls per column."""
+    return df.agg(F.count(F.lit(1)).alias("__rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
+
+
+def _null_metrics(columns: Sequence[str], limits: Mapping[str, float]) -> list[Column]:
     metrics = []
-    for c in df.columns:
+    for c in columns:
         limit = float(limits.get(c, V.NULL_PERCENT_OTHER))
         share = F.coalesce(F.try_divide(F.col(c), F.col("__rows")) * 100, F.lit(0.0))
         metrics.append(_metric(_NULLS, c, "null_count", F.col(c)))
         metrics.append(_metric(_NULLS, c, "null_percent", F.bround(share, 2), limit, _status(share <= limit)))
-    return _report(counted, metrics)
+    return metrics
+
+
+def null_percentages(df: DataFrame, limits: Mapping[str, float] | None = None) -> DataFrame:
+    """Nulls per column against a limit; only a share above the limit is a violation. One pass."""
+    limits = default_null_limits(df.columns) if limits is None else limits
+    return _report(_count_nulls(df), _null_metrics(df.columns, limits))
+
+
+def _key_metrics(key: str, n: Column, unique: Column) -> list[Column]:
+    extra = n - unique
+    percent = F.coalesce(F.bround(F.try_divide(extra, n) * 100, 2), F.lit(0.0))
+    return [
+        _metric(_DUPLICATES, key, "total_rows", n),
+        _metric(_DUPLICATES, key, "unique_keys", unique),
+        _metric(_DUPLICATES, key, "duplicate_rows", extra, 0.0, _status(extra == 0)),
+        _metric(_DUPLICATES, key, "duplicate_percent", percent),
+    ]
 
 
 def duplicate_keys(df: DataFrame, key: str = "claim_id") -> DataFrame:
@@ -90,17 +107,7 @@ def duplicate_keys(df: DataFrame, key: str = "claim_id") -> DataFrame:
     if key not in df.columns:
         return _skipped(df, _DUPLICATES, key, "column not found")
     counts = df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(key).alias("k"))
-    n, extra = F.col("n"), F.col("n") - F.col("k")
-    percent = F.coalesce(F.bround(F.try_divide(extra, n) * 100, 2), F.lit(0.0))
-    return _report(
-        counts,
-        [
-            _metric(_DUPLICATES, key, "total_rows", n),
-            _metric(_DUPLICATES, key, "unique_keys", F.col("k")),
-            _metric(_DUPLICATES, key, "duplicate_rows", extra, 0.0, _status(extra == 0)),
-            _metric(_DUPLICATES, key, "duplicate_percent", percent),
-        ],
-    )
+    return _report(counts, _key_metrics(key, F.col("n"), F.col("k")))
 
 
 def value_table(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFrame:
@@ -144,20 +151,28 @@ def row_duplicates(df: DataFrame) -> DataFrame:
     ).withColumn("duplicate_rows", F.col("total_rows") - F.col("distinct_rows"))
 
 
-def all_checks(df: DataFrame, before: DataFrame | None = None) -> DataFrame:
+def all_checks(df: DataFrame, before: DataFrame | None = None, key: str = "claim_id") -> DataFrame:
     """Table size, retention (when the input is given), nulls and key duplicates in one report.
 
-    ``overall_status`` is FAIL when any line fails; the window spans the report's few lines only.
+    Size, nulls and the row count of every check come from one pass; the different keys and the rows
+    before are narrow scans of their own. ``overall_status`` is FAIL when any line fails; the window
+    spans the report's few lines only.
     """
-    size = _report(
-        df.agg(F.count(F.lit(1)).alias("n")),
-        [
-            _metric(_SIZE, "table", "total_rows", F.col("n")),
-            _metric(_SIZE, "table", "total_columns", F.lit(len(df.columns))),
-        ],
-    )
-    report = size.unionByName(null_percentages(df)).unionByName(duplicate_keys(df))
+    counts = _count_nulls(df)
+    rows = F.col("__rows")
+    metrics = [
+        _metric(_SIZE, "table", "total_rows", rows),
+        _metric(_SIZE, "table", "total_columns", F.lit(len(df.columns))),
+        *_null_metrics(df.columns, default_null_limits(df.columns)),
+    ]
+    if key in df.columns:
+        counts = counts.withColumn("__unique", df.agg(F.count_distinct(key)).scalar())
+        metrics += _key_metrics(key, rows, F.col("__unique"))
     if before is not None:
-        report = report.unionByName(row_retention(before, df))
+        counts = counts.withColumn("__before", before.agg(F.count(F.lit(1))).scalar())
+        metrics += _retention(F.col("__before"), rows, V.RETENTION_TOLERANCE)
+    report = _report(counts, metrics)
+    if key not in df.columns:
+        report = report.unionByName(_skipped(df, _DUPLICATES, key, "column not found"))
     failed = F.max(F.col("status").isin("FAIL", "No input data")).over(Window.partitionBy())
     return report.withColumn("overall_status", _status(~failed))

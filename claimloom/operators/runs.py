@@ -10,9 +10,11 @@ import datetime as dt
 import time
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -88,16 +90,22 @@ class RunLog:
         self._params += [(self.run_id, self.run_seq, "error", f"{e['phase']}: {e['error']}") for e in self.errors]
 
     def save(self, spark: SparkSession, path: str) -> None:
-        for table, schema, rows in (
+        """Append to the run tables, side by side: each is one small file."""
+        tables = [
             ("run_metrics", METRICS_SCHEMA, self._metrics),
             ("run_params", PARAMS_SCHEMA, self._params),
             ("run_artifacts", ARTIFACTS_SCHEMA, self._artifacts),
-        ):
-            if rows:
-                types = dict(column.split() for column in schema.split(", "))
-                cells = pa.table([list(column) for column in zip(*rows)], names=list(types))
-                frame = spark.createDataFrame(cells).select(*[F.col(c).cast(t).alias(c) for c, t in types.items()])
-                frame.coalesce(1).write.mode("append").parquet(f"{path.rstrip('/')}/{table}")
+        ]
+
+        def append(table: str, schema: str, rows: list[tuple]) -> None:
+            types = dict(column.split() for column in schema.split(", "))
+            cells = pa.table([list(column) for column in zip(*rows)], names=list(types))
+            frame = spark.createDataFrame(cells).select(*[F.col(c).cast(t).alias(c) for c, t in types.items()])
+            frame.coalesce(1).write.mode("append").parquet(f"{path.rstrip('/')}/{table}")
+
+        task = inheritable_thread_target(spark)(lambda table: append(*table))
+        with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+            list(pool.map(task, [t for t in tables if t[2]]))
 
 
 def quality_metrics(report: DataFrame, layer: str, run_id: str, run_seq: int) -> DataFrame:
@@ -139,19 +147,32 @@ def latest_runs(metrics: DataFrame) -> DataFrame:
     return metrics.join(latest.select("run_id"), "run_id", "left_semi")
 
 
-def run_report(metrics: DataFrame, keys: Sequence[str]) -> DataFrame:
+def run_report(
+    metrics: DataFrame, keys: Sequence[str], params: DataFrame | None = None, names: Sequence[str] = ()
+) -> DataFrame:
     """One row per run, one column per metric key, with the run's own status (quality checks have theirs).
 
-    The keys are given, so that pivoting needs no job of its own to find them. A rerun replaces the run before it.
+    The keys are given, so that pivoting needs no job of its own to find them; the same goes for the ``names`` of
+    parameters, which follow as columns where ``params`` is given. A rerun replaces the run before it.
     """
     metrics = latest_runs(metrics)
     status = F.max(F.when(F.col("phase") == RUN, F.col("status"))).over(Window.partitionBy("run_id"))
-    return (
+    report = (
         metrics.withColumns({"metric_key": _key(), "status": status})
         .groupBy("run_id", "run_seq", "status")
         .pivot("metric_key", list(keys))
         .agg(F.max("value"))
     )
+    if params is None:
+        return report
+    shown = params.groupBy("run_id").pivot("name", list(names)).agg(F.max("value"))
+    return report.join(shown, "run_id", "left")
+
+
+def failed_phases(metrics: DataFrame) -> DataFrame:
+    """Phases that failed, the run itself left out, with the rows they are recorded with."""
+    failed = metrics.where((F.col("status") == "FAILED") & (F.col("phase") != RUN) & (F.col("metric") == "row_count"))
+    return failed.select("run_id", "run_seq", "phase", "status", F.col("value").cast("bigint").alias("row_count"))
 
 
 def run_delta(metrics: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ behind the run-tracking queries. All of them cover the whole tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -69,6 +70,14 @@ def tracked_runs(spark: SparkSession, sf_dir: str, path: str) -> None:
         run_pipeline(spark, load, path, run_seq=run_seq, run_ts=RUN_TS, csv_exports=False)
 
 
+@written_once
+def refused_run(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """A run over what was loaded before the first load: nothing, so the gate stops it."""
+    none = raw(spark, sf_dir).where(F.col("_ingested_at") < F.lit(recipes.FIRST_LOAD).cast("timestamp_ntz"))
+    with suppress(bronze.EmptySource):
+        run_pipeline(spark, none, path, run_seq=1, run_ts=RUN_TS)
+
+
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_table(spark, bronze_claims_table(spark, sf_dir))
 
@@ -131,11 +140,15 @@ def bronze_notes(spark, sf_dir):
 
 @query
 def bronze_metadata(spark, sf_dir):
+    """Ids as unique as the rows: a load's row number and time are among the keys."""
+    loads = raw(spark, sf_dir).withColumnRenamed("_record_id", "load_row").withColumn(
+        "load_date", F.to_date("_ingested_at")
+    )
     stamped = bronze.add_lineage(
-        raw_records(spark, sf_dir),
+        loads,
         source_name="claims_csv",
         ingested_from="orders",
-        keys=["claim_id", "policy_id", "submitted_date", "status"],
+        keys=["load_row", "load_date", "claim_id", "policy_id", "submitted_date", "status"],
     )
     return stamped.select("claim_id", "policy_id", "_ingested_from", "_source_name", "_record_id")
 
@@ -410,7 +423,29 @@ def run_report(spark, sf_dir):
         "gold_metrics_generation_total_rows",
         "gold_metrics_generation_num_tables",
     ]
-    return runs.run_report(metric_rows(spark, sf_dir), keys).drop("run_id")
+    params = run_table(spark, sf_dir, "run_params")
+    return runs.run_report(metric_rows(spark, sf_dir), keys, params, ["silver_transformation_version"]).drop("run_id")
+
+
+@query
+def run_summary(spark, sf_dir):
+    summary = runs.run_summary(run_table(spark, sf_dir, "run_metrics"), run_table(spark, sf_dir, "run_params"))
+    timed = (F.col("total_seconds") > 0).alias("timed")
+    return summary.select("run_seq", "phases", "failed_phases", "final_status", timed)
+
+
+@query
+def run_params(spark, sf_dir):
+    """Parameters of every run but the folders, which differ from session to session."""
+    names = ["silver_transformation_version", "silver_output_columns", "final_status"]
+    params = run_table(spark, sf_dir, "run_params").where(F.col("name").isin(names))
+    return params.select("run_seq", "name", "value")
+
+
+@query
+def run_failed_phases(spark, sf_dir):
+    metrics = readers.read_table(spark, f"{Lake(refused_run(spark, sf_dir)).runs()}/run_metrics")
+    return runs.failed_phases(metrics).drop("run_id")
 
 
 @query

@@ -43,6 +43,14 @@ _TOTAL = f"cast(sum({_MONEY}) as double)"
 _MEAN = f"cast(sum({_MONEY}) as double) / count(claim_amount)"
 _APPROVED = "count(*) filter (where status = 'approved')"
 
+_MARKED = " || ".join(
+    f"coalesce(length({text}) || ':' || {text}, '-')"
+    for text in (
+        "cast(_record_id as varchar)", "strftime(_ingested_at, '%Y-%m-%d')", "claim_id", "policy_id", "submitted_date",
+        "status",
+    )
+)
+
 _CTES = {
     "versions": """
         select o_orderkey as k, o_custkey as ck, cast(o_orderdate as date) as od,
@@ -299,7 +307,7 @@ _GOLD_SUMMARY = "\nunion all ".join(
 )
 
 
-def _run_metric_rows(run_seq: int, raw: str, silver: str) -> str:
+def _run_metric_rows(run_seq: int, raw: str, keyed: str, silver: str) -> str:
     bronze, kept = f"(select count(*) from {raw})", f"(select count(*) from {silver})"
     gold = {f"{name}_rows": _gold_count(name, silver) for name in _GOLD_COLUMNS}
     values = {
@@ -309,6 +317,7 @@ def _run_metric_rows(run_seq: int, raw: str, silver: str) -> str:
         "silver_transformation_row_count_input": bronze,
         "silver_transformation_row_count_output": kept,
         "silver_transformation_retention_percentage": f"{kept} / {bronze} * 100",
+        "silver_transformation_duplicates_removed": f"(select count(*) from {keyed}) - {kept}",
         "silver_transformation_column_count": "18",
         "gold_metrics_generation_total_rows": " + ".join(gold.values()),
         "gold_metrics_generation_num_tables": "6",
@@ -323,7 +332,9 @@ def _run_metric_rows(run_seq: int, raw: str, silver: str) -> str:
 
 
 _CTES["run_metrics"] = (
-    _run_metric_rows(1, "first_load", "first_silver") + "\nunion all " + _run_metric_rows(2, "raw", "silver")
+    _run_metric_rows(1, "first_load", "first_keyed", "first_silver")
+    + "\nunion all "
+    + _run_metric_rows(2, "raw", "keyed", "silver")
 )
 _REPORT_KEYS = (
     "bronze_ingestion_row_count", "silver_transformation_row_count_output", "gold_metrics_generation_total_rows",
@@ -365,10 +376,9 @@ ORACLE: dict[str, str] = {
     "bronze_customers_csv": "select * from customers",
     "bronze_json_scan": "select * from notes",
     "bronze_notes": "select * from notes",
-    "bronze_metadata": """select claim_id, policy_id, 'orders' as _ingested_from, 'claims_csv' as _source_name,
-            sha256(coalesce(claim_id, '') || '|' || coalesce(policy_id, '') || '|' || coalesce(submitted_date, '')
-                || '|' || coalesce(status, '')) as _record_id
-        from records""",
+    "bronze_metadata": f"""select claim_id, policy_id, 'orders' as _ingested_from, 'claims_csv' as _source_name,
+            sha256({_MARKED}) as _record_id
+        from raw""",
     "bronze_gate": "select count(*) as row_count, cast(0 as bigint) as all_null_columns, count(*) > 0 as passed from records",
     "bronze_null_profile": "\nunion all ".join(
         f"select '{c}' as column_name, count(*) as row_count, count(*) - count({c}) as null_count, "
@@ -463,7 +473,14 @@ ORACLE: dict[str, str] = {
     "gold_table_summary": _GOLD_SUMMARY,
     "gold_export_csv": _FRAUD,
     "run_phase_metrics": "select * from run_metrics",
-    "run_report": "select run_seq, 'SUCCESS' as status, "
+    "run_summary": """select distinct run_seq, cast(3 as bigint) as phases, cast(0 as bigint) as failed_phases,
+        'SUCCESS' as final_status, true as timed from run_metrics""",
+    "run_params": f"""select run_seq, name, value from (select distinct run_seq from run_metrics),
+        (values ('silver_transformation_version', '1.0'), ('final_status', 'SUCCESS'), ('silver_output_columns',
+            '{",".join(_SILVER_COLUMNS)},_transformed_at,_transformation_version')) p(name, value)""",
+    "run_failed_phases": """select cast(1 as integer) as run_seq, 'BRONZE_INGESTION' as phase, 'FAILED' as status,
+        count(*) as row_count from raw where _ingested_at < timestamp '2025-01-01 00:00:00' having count(*) = 0""",
+    "run_report": "select run_seq, 'SUCCESS' as status, '1.0' as silver_transformation_version, "
     + ", ".join(f"max(value) filter (where metric_key = '{key}') as {key}" for key in _REPORT_KEYS)
     + " from run_metrics group by run_seq",
     "run_delta": """select run_seq, metric_key, value, previous_value, value - previous_value as delta,

@@ -18,12 +18,12 @@ from pyspark.sql import functions as F
 from claimloom.functions.vocabulary import TRANSFORMATION_VERSION
 from claimloom.operators import bronze, gold, quality, silver
 from claimloom.operators.runs import RunLog, quality_metrics
-from claimloom.schemas import SCHEMAS, as_strings
+from claimloom.schemas import SCHEMAS, as_strings, required_columns
 from claimloom.sources.readers import missing_to_null, read_csv, read_table
 from claimloom.sources.writers import export_csv, run_path, sizes_mb, write_run
 
-BRONZE, SILVER, GOLD, SAVE = (
-    "BRONZE_INGESTION", "SILVER_TRANSFORMATION", "GOLD_METRICS_GENERATION", "SAVE_OUTPUTS",
+BRONZE, SILVER, GOLD, SAVE, QUALITY = (
+    "BRONZE_INGESTION", "SILVER_TRANSFORMATION", "GOLD_METRICS_GENERATION", "SAVE_OUTPUTS", "QUALITY_CHECKS",
 )
 
 
@@ -77,6 +77,7 @@ def run_pipeline(
     try:
         with log.phase(BRONZE) as metrics:
             metrics.update(_write_bronze(raw, run_path(lake.bronze(), run_seq), source_name))
+            keyed_rows = metrics.pop("keyed_rows")
         loaded = read_table(spark, run_path(lake.bronze(), run_seq))
         artifacts = [("bronze", "claims", run_path(lake.bronze(), run_seq), metrics["row_count"], loaded.columns)]
 
@@ -89,6 +90,7 @@ def run_pipeline(
                 row_count_input=rows_in,
                 row_count_output=rows,
                 retention_percentage=rows / rows_in * 100 if rows_in else 0.0,
+                duplicates_removed=keyed_rows - rows,
                 column_count=len(cleaned.columns),
             )
         claims = read_table(spark, run_path(lake.silver(), run_seq))
@@ -123,23 +125,26 @@ def run_pipeline(
                     lambda name, table: export_csv(table, lake.export(name, run_seq)),
                 )
                 metrics.update(num_tables=len(saved))
+
+        if quality_report:
+            with log.phase(QUALITY):
+                report = quality_metrics(quality.all_checks(claims, loaded), "silver", log.run_id, run_seq)
+                report.coalesce(1).write.mode("append").parquet(f"{lake.runs()}/run_metrics")
     except Exception:
         log.finish("FAILED")
         log.save(spark, lake.runs())
         raise
     log.finish("SUCCESS")
     log.save(spark, lake.runs())
-    if quality_report:
-        report = quality_metrics(quality.all_checks(claims, loaded), "silver", log.run_id, run_seq)
-        report.coalesce(1).write.mode("append").parquet(f"{lake.runs()}/run_metrics")
     return log
 
 
 def _write_bronze(raw: DataFrame, path: str, source_name: str) -> dict:
+    keys = required_columns(SCHEMAS["claims"])
     if "_ingested_at" not in raw.columns:
-        return bronze.ingest(raw, path, source_name=source_name)
+        return bronze.ingest(raw, path, source_name=source_name, keys_of=keys)
     named = raw if "_source_name" in raw.columns else raw.withColumn("_source_name", F.lit(source_name))
-    return bronze.write_gated(named, path, source_name)
+    return bronze.write_gated(named, path, source_name, keys)
 
 
 def _side_by_side(spark: SparkSession, items: Mapping[str, object], write) -> dict[str, int]:

@@ -31,3 +31,11 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path nobody has used before, so nothing is ever overwritten or read half-written."""
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's own folder; frames that read its tables are of no use afterwards."""
+    root = _roots.pop(spark.conf.get("spark.app.id", "session"), None)
+    if root is not None:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

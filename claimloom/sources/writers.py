@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.java_gateway import JavaObject
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,17 +61,36 @@ def write_run(df: DataFrame, path: str, run_seq: int, *, metrics: Sequence[Colum
     return write_table(df, run_path(path, run_seq), metrics=metrics)
 
 
-def read_as_of_run(spark: SparkSession, path: str, run_seq: int | None = None) -> DataFrame:
-    """The table as the latest run up to ``run_seq`` left it.
+def _folder(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
+    """The folder and its file system, as Spark's own readers find it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
-    The wanted run is a scalar subquery over the file listing (a run may have left no rows) and
-    filters the partition column, so only that run's folder is read.
+
+def runs_of(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the runs that wrote the table, ascending: one listing of folder names, no file is looked at."""
+    folder, system = _folder(spark, path)
+    names = [status.getPath().getName() for status in system.listStatus(folder)]
+    mark = f"{RUN_COLUMN}="
+    return sorted(int(name.removeprefix(mark)) for name in names if name.startswith(mark))
+
+
+def read_as_of_run(
+    spark: SparkSession, path: str, run_seq: int | None = None, *, merge_schema: bool = False
+) -> DataFrame:
+    """The table as the latest run up to ``run_seq`` left it (a run may have left no rows).
+
+    Only the wanted run's folder is opened. With ``merge_schema`` columns that other runs have are null.
+    When no run is that early, the table is empty.
     """
-    runs = spark.read.option("mergeSchema", True).parquet(path)
-    files = spark.read.format("binaryFile").load(path).select(RUN_COLUMN)
-    earlier = files if run_seq is None else files.where(F.col(RUN_COLUMN) <= F.lit(int(run_seq)))
-    wanted = earlier.agg(F.max(RUN_COLUMN)).scalar()
-    return runs.where(F.col(RUN_COLUMN) == wanted)
+    runs = runs_of(spark, path)
+    found = [n for n in runs if run_seq is None or n <= run_seq]
+    read = spark.read.option("basePath", path)
+    state = read.parquet(run_path(path, found[-1] if found else runs[0]))
+    if merge_schema:
+        others = [read.parquet(run_path(path, n)).limit(0) for n in runs]
+        state = append_batches(state, *others)
+    return state if found else state.where(F.lit(False))
 
 
 def append_batches(*batches: DataFrame) -> DataFrame:
@@ -82,8 +102,9 @@ def append_batches(*batches: DataFrame) -> DataFrame:
 
 
 def sizes_mb(spark: SparkSession, paths: Sequence[str]) -> dict[str, float]:
-    """Size of each folder's data files, from one listing; no file is opened."""
-    files = spark.read.format("binaryFile").load([f"{p.rstrip('/')}/part-*" for p in paths])
-    folder = F.regexp_replace("path", "/[^/]*$", "")
-    sizes = files.groupBy(folder.alias("folder")).agg(F.sum("length").alias("bytes")).collect()
-    return {p: sum(r.bytes for r in sizes if r.folder.endswith(p.rstrip("/"))) / 2**20 for p in paths}
+    """Size of each folder from the file system's own summary; no job, no file is opened."""
+    sizes = {}
+    for path in paths:
+        folder, system = _folder(spark, path)
+        sizes[path] = system.getContentSummary(folder).getLength() / 2**20
+    return sizes

@@ -1,6 +1,7 @@
 """Scans, sinks, lineage and gates."""
 
 import datetime as dt
+import os
 import re
 from decimal import Decimal
 
@@ -174,3 +175,29 @@ def test_scratch_uses_the_shared_folder():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch.scratch_root(FakeSession(spark_app_id="a2", spark_master="spark://host"))
     assert scratch.scratch_root(FakeSession(spark_app_id="a3", spark_master="local[2]"))
+
+
+def test_scratch_can_be_cleared(spark):
+    path = scratch.scratch_path(spark, "t")
+    writers.write_table(spark.range(3), path)
+    kept = dict(scratch._roots)
+    scratch._roots[spark.conf.get("spark.app.id")] = path
+    try:
+        scratch.clear_scratch(spark)
+        assert not os.path.exists(path)
+    finally:
+        scratch._roots.update(kept)
+
+
+def test_as_of_reads_only_the_wanted_run(spark, tmp_path):
+    path = str(tmp_path / "t")
+    writers.write_run(spark.range(3), path, 1)
+    writers.write_run(spark.range(5).withColumn("x", F.lit("v")), path, 4)
+    assert writers.runs_of(spark, path) == [1, 4]
+    assert writers.read_as_of_run(spark, path, 0).count() == 0
+    early = writers.read_as_of_run(spark, path, 3)
+    assert early.count() == 3 and "x" not in early.columns
+    assert not any("=4" in f for f in early.inputFiles())
+    merged = writers.read_as_of_run(spark, path, 3, merge_schema=True)
+    assert "x" in merged.columns and merged.count() == merged.where("x is null").count() == 3
+    assert writers.sizes_mb(spark, [path])[path] > 0

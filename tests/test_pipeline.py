@@ -40,6 +40,7 @@ def test_recorded_metrics(spark, lake):
     assert found[("BRONZE_INGESTION", "row_count")] == 1575
     assert found[("SILVER_TRANSFORMATION", "retention_percentage")] == pytest.approx(1461 / 1575 * 100)
     assert found[("SILVER_TRANSFORMATION", "column_count")] == 18
+    assert found[("SILVER_TRANSFORMATION", "duplicates_removed")] >= 0 and ("QUALITY_CHECKS", "duration_seconds") in found
     assert found[(GOLD, "num_tables")] == 6 and found[(GOLD, "monthly_summary_rows")] == 202
     assert found[(SAVE, "num_tables")] == 7 and found[("RUN", "errors")] == 0
     assert found[("SILVER_TRANSFORMATION", "records_per_second")] > 0
@@ -58,6 +59,7 @@ def test_reports_over_runs(spark, lake):
     assert delta and all(r.delta == 0 and not r.changed for r in delta)
     report = runs.run_report(table, ["bronze_ingestion_row_count"]).collect()
     assert sorted((r.run_seq, r.bronze_ingestion_row_count) for r in report) == [(1, 1575.0), (2, 1575.0)]
+    assert {r.status for r in report} == {"SUCCESS"}
     rates = {r.phase: r.records_per_second for r in runs.throughput(table.where("run_seq = 1")).collect()}
     assert rates["BRONZE_INGESTION"] > 0
     params = readers.read_table(spark, f"{lake.runs()}/run_params").where("run_seq = 1").collect()
