@@ -17,11 +17,14 @@ from claimloom.llm.common import fresh, text_or_empty
 
 #: A paragraph ends at a line break; one line of prose is cut after its sentences, so that it has parts to compare.
 PARAGRAPH_END = r"\n|(?<=[.!?])\x20"
-SIGN_BITS = 64
-#: Two lanes of 32 bits share one long: bit k of the hash in the low half, bit k + 32 in the high half.
+#: A longer paragraph is hashed in stretches of this many code points, so that a change in it leaves the others.
+PIECE_CHARS = 100
+SIGN_BITS = 128
+#: Two lanes of 32 bits share one long: bit k of a hash in the low half, bit k + 32 in the high half. Two hashes.
 _PAIR = (1 << 32) + 1
 _LOW = (1 << 32) - 1
 _WIDE_SALTS = (101, 202)
+_SECOND_SALT = 303
 _WIDE_MODULUS = (1 << 62) - 1
 #: Text per range of ids, unless that made more ranges than ``MOST_RANGES``, whose borders are part of the plan.
 RANGE_BYTES = 2 << 20
@@ -29,13 +32,20 @@ MOST_RANGES = 1 << 18
 
 
 def paragraphs(text: Column) -> Column:
-    return F.filter(F.split(text, PARAGRAPH_END), lambda p: p != "")
+    """The parts that are hashed: paragraphs, long ones in stretches."""
+    stretches = F.lit(f"(?s).{{1,{PIECE_CHARS}}}")
+
+    def cut(p: Column) -> Column:
+        long = F.char_length(p) > PIECE_CHARS
+        return F.when(long, F.regexp_extract_all(p, stretches, F.lit(0))).otherwise(F.array(p))
+
+    return F.flatten(F.transform(F.filter(F.split(text, PARAGRAPH_END), lambda p: p != ""), cut))
 
 
 def with_vectors(df: DataFrame, **texts: str) -> DataFrame:
     """``df`` with, for each ``name="text column"``, the fingerprint ``name`` and the text's weight ``name_weight``.
 
-    A fingerprint is an array of longs: 32 with two sign lanes each, then the wide lanes. Lanes are sums of
+    A fingerprint is an array of longs: 64 with two sign lanes each, then the wide lanes. Lanes are sums of
     lengths (wide lanes: of 31-bit hashes), which a text of under 2^31 characters cannot overflow. A null or
     empty text has all lanes zero. The weight is the length of all paragraphs.
     """
@@ -43,10 +53,16 @@ def with_vectors(df: DataFrame, **texts: str) -> DataFrame:
     low31 = F.lit((1 << 31) - 1)
 
     def hashed(p: Column) -> Column:
-        return F.struct(F.xxhash64(p).alias("h"), F.char_length(p).cast("long").alias("w"))
+        first = F.xxhash64(p)
+        return F.struct(
+            first.alias("h"),
+            F.xxhash64(first, F.lit(_SECOND_SALT)).alias("g"),
+            F.char_length(p).cast("long").alias("w"),
+        )
 
     def pair(k: int):
-        return lambda total, p: total + p["w"] * F.shiftrightunsigned(p["h"], k).bitwiseAND(F.lit(_PAIR))
+        bits, shift = ("h", k) if k < 32 else ("g", k - 32)
+        return lambda total, p: total + p["w"] * F.shiftrightunsigned(p[bits], shift).bitwiseAND(F.lit(_PAIR))
 
     def wide(salt: int):
         return lambda total, p: total + F.xxhash64(p["h"], F.lit(salt)).bitwiseAND(low31)
