@@ -61,9 +61,11 @@ def main() -> None:
         for phase in ("BRONZE_INGESTION", "SILVER_TRANSFORMATION", "GOLD_METRICS_GENERATION", "SAVE_OUTPUTS")
     }
 
-    for shared_table in (bronze_claims_table, silver_claims_table, tracked_runs):
-        shared_table(spark, sf_dir)
-    queries = {}
+    # The queries read these tables; building them is timed on its own and listed beside the queries.
+    queries = {
+        f"build_{table.__name__}": round(timed(lambda table=table: table(spark, sf_dir)), 3)
+        for table in (bronze_claims_table, silver_claims_table, tracked_runs)
+    }
     for key, build in QUERIES.items():
         queries[key] = round(timed(lambda: compute(build(spark, sf_dir))), 3)
         print(f"{key}: {queries[key]} s", file=sys.stderr, flush=True)

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from claimloom.operators import gold, silver
+from claimloom.operators import gold, profile, quality, silver
 from claimloom.plans import catalog, recipes
 from claimloom.plans.catalog import QUERIES, RUN_TS
 
@@ -103,3 +103,21 @@ def test_a_hot_key_leaves_each_task_as_one_row(spark):
     assert len(rows) == 2001 and {r._record_id for r in rows if r.claim_id == "hot"} == {2997}
     text = out._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"WindowGroupLimit .*Partial", text)
+
+
+def test_reports_scan_no_more_than_they_need(silver_table, bronze_table):
+    """Scans of the first plan; the total of ``value_counts`` reads the counts its list has shuffled."""
+    for df, most in (
+        (gold.status_breakdown(silver_table), 1),
+        (profile.monthly_resample(silver_table), 1),
+        (quality.all_checks(silver_table, bronze_table), 3),
+    ):
+        assert physical(df).count("FileScan") <= most
+    counts = profile.value_counts(silver_table, "status")
+    counts.collect()
+    assert "ReusedExchange" in physical(counts)
+
+
+def test_as_of_reads_list_no_files(spark, sf_dir):
+    plan = physical(QUERIES["table_as_of_run"](spark, sf_dir))
+    assert "binaryFile" not in plan and plan.count("FileScan") == 2
