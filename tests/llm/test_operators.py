@@ -272,6 +272,49 @@ def test_lm_scores_prefer_the_target(spark, docs, none):
     assert lm.score(docs, target.limit(0)).count() == len(TEXTS)
 
 
+def plain_lm(texts, target):
+    """Per text its tokens and mean bits, one token at a time from plain counters."""
+
+    def counts(all_words):
+        return Counter(w for ws in all_words for w in ws), Counter(p for ws in all_words for p in zip(ws, ws[1:]))
+
+    def cost(words, single, pair, mass, factor):
+        bits = 0.0
+        for i, w in enumerate(words):
+            p = 0.95 * single[w] / mass + 0.05 / 65536 if mass else 0.05 / 65536
+            if i:
+                before = factor * single[words[i - 1]]
+                given = min(pair[words[i - 1], w] / single[words[i - 1]], 1) if before else 0
+                p = before / (before + 5) * given + 5 / (before + 5) * p
+            bits -= np.log2(min(p, 1))
+        return bits / max(len(words), 1)
+
+    split = [lowered(t).encode().split() for t in texts]
+    wanted = [lowered(t).encode().split() for t in target]
+    (t1, t2), (c1, c2) = counts(wanted), counts(split)
+    factor = t1.total() / max(c1.total(), 1) if t1 else 1.0
+    for words in split:
+        o1, o2 = counts([words])
+        rest = c1 - o1
+        yield len(words), cost(words, t1, t2, t1.total(), 1.0), cost(words, rest, c2 - o2, rest.total(), factor)
+
+
+def test_lm_scores_against_plain_counters(spark, docs, sf_dir, monkeypatch):
+    sample = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    wanted = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    for chars in (lm.GROUP_CHARS, 50_000):  # one group a batch, and many
+        monkeypatch.setattr(lm, "GROUP_CHARS", chars)
+        for corpus, target in ((sample, wanted), (docs, wanted.limit(0)), (docs, wanted)):
+            rows = sorted(map(tuple, corpus.select("doc_id", "text").collect()), key=str)
+            expected = plain_lm([t for _, t in rows], [r.text for r in target.collect()])
+            expected = sorted((str(i), n, round(a, 6), round(b, 6)) for (i, _), (n, a, b) in zip(rows, expected, strict=True))
+            got = lm.score(corpus, target).collect()
+            assert all(r.score == r.target_bits - r.background_bits for r in got)
+            got = sorted((str(r.doc_id), r.n_tokens, round(r.target_bits, 6), round(r.background_bits, 6)) for r in got)
+            assert [x[:2] for x in got] == [x[:2] for x in expected]
+            assert np.allclose([x[2:] for x in got], [x[2:] for x in expected], atol=1e-5)
+
+
 def test_licenses_edges(spark, docs, none):
     extra = [
         (20, "mit license mit license x GNU general-public LICENSE", "cc by"),
