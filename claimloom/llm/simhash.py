@@ -1,7 +1,7 @@
 """Near duplicates: SimHash fingerprints linked through a Gray-order hierarchical index.
 
-Fingerprints within ``MAX_BITS`` differing bits share at least one of ``MAX_BITS + 1`` bands exactly, so rows meet by
-band value. Inside, they are sorted by Gray rank (neighbours differ in few bits). Every few neighbours form a node
+Of ``MAX_BITS + s`` bands, fingerprints within ``MAX_BITS`` differing bits share at least s exactly, so rows meet by the
+value of s bands; s grows with the number of fingerprints, so that few meet by chance. Inside, they are sorted by Gray rank (neighbours differ in few bits). Every few neighbours form a node
 that keeps the bits they share; nodes form upper nodes the same way. The search goes down from pairs of upper nodes: bits
 that two nodes' shared patterns disagree on differ for all rows below, so a pair with over ``MAX_BITS`` of them
 is dropped with everything under it. What is found is kept as a spanning forest, never as all pairs.
@@ -10,6 +10,7 @@ is dropped with everything under it. What is found is kept as a spanning forest,
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +23,9 @@ from claimloom.llm.common import broadcast_if_small, fresh, staged, text_groups
 SHINGLE = 4
 SEED = 42
 MAX_BITS = 4
-#: Band borders over the 64 bits.
-BANDS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
+#: Rows that meet by the value of shared bands if fingerprints are even; beyond it more bands are shared.
+EVEN_ROWS = 1024
+MOST_SHARED = 4
 #: Rows of one band value that are compared in one task; more are cut into chunks and compared chunk by chunk.
 CHUNK = 4096
 FANOUT = 16
@@ -163,18 +165,40 @@ def _forests(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield links(keys, prints)
 
 
-def links(distinct: DataFrame) -> DataFrame:
+def band_masks(shared: int) -> list[int]:
+    """The bits of every choice of ``shared`` out of ``MAX_BITS + shared`` bands of nearly equal widths."""
+    wide, more = divmod(64, MAX_BITS + shared)
+    widths = [wide + (i < more) for i in range(MAX_BITS + shared)]
+    starts = [sum(widths[:i]) for i in range(len(widths))]
+    bands = [((1 << width) - 1) << start for start, width in zip(starts, widths, strict=True)]
+    return [sum(chosen) for chosen in combinations(bands, shared)]
+
+
+def shared_bands(fingerprints: int) -> int:
+    """How many bands rows meet by: the fewest that would leave ``EVEN_ROWS`` rows a value.
+
+    One up to 4 million fingerprints (5 rows each), two up to 10^9 (15), three up to 10^11 (35), then four (70).
+    Every choice finds all links.
+    """
+    for shared in range(1, MOST_SHARED):
+        if fingerprints <= EVEN_ROWS << min(mask.bit_count() for mask in band_masks(shared)):
+            return shared
+    return MOST_SHARED
+
+
+def links(distinct: DataFrame, shared: int | None = None) -> DataFrame:
     """Links ``a``, ``b`` between distinct fingerprints ``fp``: a spanning forest per band value (or tile).
 
     A band value with more than ``CHUNK`` rows is cut into chunks by hash and every two chunks meet in a tile of
     their own, so no task holds more than two chunks at once, and no pair is left out.
     """
+    masks = band_masks(shared or shared_bands(distinct.count()))
     bands = [
         F.struct(
             F.lit(i).alias("band"),
-            F.shiftrightunsigned("fp", start).bitwiseAND(F.lit((1 << width) - 1)).alias("value"),
+            F.col("fp").bitwiseAND(F.lit(mask - (mask >> 63 << 64))).alias("value"),
         )
-        for i, (start, width) in enumerate(BANDS)
+        for i, mask in enumerate(masks)
     ]
     rows = distinct.select("fp", F.explode(F.array(*bands)).alias("at")).select("fp", "at.band", "at.value")
     hot = staged(

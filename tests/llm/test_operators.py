@@ -1,6 +1,7 @@
 """The text operators against brute force on small tables, edge rows among them."""
 
 import hashlib
+import math
 import zlib
 from collections import Counter
 
@@ -136,7 +137,8 @@ def test_simhash_against_all_pairs(spark, docs, none, sf_dir):
     assert simhash.near_duplicates(none).count() == simhash.keep_first(none).count() == 0
 
 
-def test_gray_index_and_tiles_find_all_links(spark, monkeypatch):
+@pytest.mark.parametrize("shared", [1, 2, 4])
+def test_gray_index_and_tiles_find_all_links(spark, monkeypatch, shared):
     monkeypatch.setattr(simhash, "CHUNK", 64)
     random = np.random.default_rng(3)
     centres = random.integers(0, 1 << 63, 6, dtype=np.uint64)
@@ -147,7 +149,7 @@ def test_gray_index_and_tiles_find_all_links(spark, monkeypatch):
             prints.add(c ^ sum(1 << int(b) for b in flips))
     prints = sorted(prints)
     frame = spark.createDataFrame([(int(np.uint64(p).view(np.int64)),) for p in prints], "fp long")
-    labels = {r.node: r.label for r in simhash.components(simhash.links(frame)).collect()}
+    labels = {r.node: r.label for r in simhash.components(simhash.links(frame, shared)).collect()}
     signed = [int(np.uint64(p).view(np.int64)) for p in prints]
     want, got = {}, {}
     for p, root in zip(signed, plain_components(prints)):
@@ -156,6 +158,14 @@ def test_gray_index_and_tiles_find_all_links(spark, monkeypatch):
     assert sorted(map(sorted, want.values())) == sorted(map(sorted, got.values()))
 
 
+def test_bands_cover_all_bits_and_grow_with_the_rows():
+    for shared in range(1, 5):
+        masks = simhash.band_masks(shared)
+        assert np.bitwise_or.reduce(np.array(masks, np.uint64)) == (1 << 64) - 1
+        assert len(masks) == len(set(masks)) == math.comb(4 + shared, shared)
+    assert [simhash.shared_bands(n) for n in (0, 1 << 22, (1 << 22) + 1, 10**9, 10**10, 10**12)] == [1, 1, 2, 2, 3, 4]
+
+
 def test_mixing_meets_targets_and_reruns_agree(docs, none):
     taken, planned = mixing.mix(docs, block_words=4)
     rows = taken.collect()
