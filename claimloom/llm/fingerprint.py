@@ -144,6 +144,11 @@ def edited(text: Column, following: Column) -> Column:
     return F.concat(F.left(text, n - half), F.left(following, half))
 
 
+def _constants(values: list, kind: str) -> Column:
+    """A constant array from one string, which is folded when the plan is made; a literal per value would take minutes."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")
+
+
 def with_following(df: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
     """Rows of ``doc_id``, ``text`` with ``following``: ``text`` and the ``carried`` columns of the next row.
 
@@ -155,13 +160,13 @@ def with_following(df: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
     slim = df.select("doc_id", "text")
     volume = slim.agg(F.sum(F.octet_length("text")).alias("bytes"), F.min("doc_id").alias("first")).first()
     ranges = min(MOST_RANGES, max(1, math.ceil((volume["bytes"] or 0) / RANGE_BYTES)))
-    steps = [i / ranges for i in range(1, ranges)]
     borders: list[int] = []
-    if steps:
+    if ranges > 1:
+        steps = _constants([i / ranges for i in range(1, ranges)], "double")
         found = slim.agg(F.percentile_approx("doc_id", steps, max(10_000, 4 * ranges))).first()[0] or []
         borders = sorted({x for x in found if x > volume["first"]})
     has_null = not slim.where("doc_id is null").isEmpty()
-    table = F.array(*[F.lit(x).cast("long") for x in borders]) if borders else F.array().cast("array<bigint>")
+    table = _constants(borders, "bigint") if borders else F.array().cast("array<bigint>")
     low, high = F.lit(0), F.lit(len(borders))
     bounds = F.struct(low.alias("low"), high.alias("high"))
 
