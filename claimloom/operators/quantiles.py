@@ -3,7 +3,8 @@
 The built-in exact percentile keeps every distinct value of a group in one task's memory. Here two
 narrow scans find the same number: the first counts values in about relative-width bins (a few
 thousand rows per task after the map-side combine), which tells the bin that holds the wanted
-rank; the second counts the values of that bin only.
+rank; the second counts the values of that bin only. The bin's values are added up by parts of its
+width first, so that only one part is put in order.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from claimloom.functions.predicates import all_present
 
 _BINS_PER_E_FOLD = 512
+_PARTS = 4096
 
 
 def _bin(value: Column) -> Column:
@@ -56,8 +58,9 @@ def exact_quantiles(
             _join_counts(rows.where(~known), wanted.where(~known), join_on)
         )
 
-    in_bin = Window.partitionBy(*keys, "__p", "__bin").orderBy("__v")
-    last = F.col("__before") + F.sum("__n").over(in_bin) - 1
+    candidates, group = _wanted_parts(candidates, [*keys, "__p", "__bin"])
+    in_part = Window.partitionBy(*group).orderBy("__v")
+    last = F.col("__start") + F.sum("__n").over(in_part) - 1
     ranked = candidates.withColumn("__last", last).withColumn("__first", F.col("__last") - F.col("__n") + 1)
 
     def at(rank: str) -> Column:
@@ -77,7 +80,9 @@ def exact_quantiles(
 
 def _wanted_bins(rows: DataFrame, keys: list[str], probabilities: Sequence[float]) -> DataFrame:
     """The bins that hold a wanted rank, with the number of values before each bin."""
-    counted = rows.groupBy(*keys, "__bin").agg(F.count(F.lit(1)).alias("__n"))
+    counted = rows.groupBy(*keys, "__bin").agg(
+        F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__from"), F.max("__v").alias("__to")
+    )
     group = Window.partitionBy(*keys)
     running = F.sum("__n").over(group.orderBy("__bin").rowsBetween(Window.unboundedPreceding, 0))
     position = F.col("__p") * (F.col("__total") - 1)
@@ -88,10 +93,27 @@ def _wanted_bins(rows: DataFrame, keys: list[str], probabilities: Sequence[float
         .withColumn("__p", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
         .withColumns({"__low": low, "__high": high, "__share": position - low})
         .where(F.col("__low").between(start, end) | F.col("__high").between(start, end))
-        .select(*keys, "__bin", "__p", "__before", "__low", "__high", "__share")
+        .select(*keys, "__bin", "__p", "__before", "__low", "__high", "__share", "__from", "__to")
     )
 
 
+def _wanted_parts(candidates: DataFrame, bin_keys: list[str]) -> tuple[DataFrame, list[str]]:
+    """Of a bin's values those in the parts of its width that hold a wanted rank, with ``__start``, the number of values
+    before the part; and the columns that name a part."""
+    width = F.col("__to") - F.col("__from")
+    part = F.floor((F.col("__v") - F.col("__from")) / width * _PARTS)
+    group = [*bin_keys, "__part"]
+    in_width = F.coalesce(F.when(width > 0, part), F.lit(0))
+    # The join asks for these as well; said here, both of its sides read the same shuffled values.
+    candidates = candidates.where(all_present([*bin_keys, "__v"])).withColumn("__part", in_width)
+    counted = candidates.groupBy(*group, "__before", "__low", "__high").agg(F.sum("__n").alias("__in_part"))
+    in_order = Window.partitionBy(*bin_keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, 0)
+    counted = counted.withColumn("__start", F.col("__before") + F.sum("__in_part").over(in_order) - F.col("__in_part"))
+    end = F.col("__start") + F.col("__in_part") - 1
+    held = counted.where(F.col("__low").between(F.col("__start"), end) | F.col("__high").between(F.col("__start"), end))
+    return candidates.join(held.select(*group, "__start"), group), group
+
+
 def _count_values(joined: DataFrame, wanted_columns: Sequence[str]) -> DataFrame:
     return joined.groupBy(*wanted_columns, "__v").agg(F.count(F.lit(1)).alias("__n"))
 

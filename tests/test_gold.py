@@ -230,3 +230,16 @@ def test_duplicate_flags(spark):
 def test_value_counts(spark):
     df = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "v STRING")
     assert [tuple(r) for r in profile.value_counts(df, "v").collect()] == [("a", 2, 50.0), ("b", 1, 25.0)]
+
+
+def test_quantiles_inside_one_bin(spark):
+    """All values lie in one bin, repeat, or stand alone at both ends; ranks fall between parts."""
+    values = [50_000 + (i * i % 997) / 7 for i in range(3_000)] + [50_000.0] * 50 + [-1.0, 1e9]
+    df = spark.createDataFrame([(v, str(i % 2)) for i, v in enumerate(values)], "v double, g string")
+    wanted = [0.0, 0.013, 0.5, 0.9, 1.0]
+    whole = {r.probability: r.quantile for r in exact_quantiles(df, "v", wanted).collect()}
+    assert list(whole) and all(whole[p] == pytest.approx(np.quantile(values, p), rel=1e-12) for p in wanted)
+    for known in (None, ["0"]):
+        for r in exact_quantiles(df, "v", wanted, by="g", known_groups=known).collect():
+            own = [v for i, v in enumerate(values) if str(i % 2) == r.g]
+            assert r.quantile == pytest.approx(np.quantile(own, r.probability), rel=1e-12)
