@@ -9,7 +9,7 @@ is dropped with everything under it. What is found is kept as a spanning forest,
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -266,22 +266,34 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     rows = staged(fingerprints(slim), "simhash-prints")
     distinct = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
-    labels = components(links(distinct))
+    mapping = first_of_components(distinct, components(links(distinct)))
+    return rows.join(broadcast_if_small(mapping), "fp").select("doc_id", "fp", "component_id")
+
+
+def first_of_components(distinct: DataFrame, labels: DataFrame) -> DataFrame:
+    """``fp``, ``component_id`` of every row of ``distinct`` (``fp``, ``first_id``): the smallest id of its component."""
     labelled = distinct.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", F.coalesce("label", "fp").alias("label"), "first_id"
     )
     firsts = labelled.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    mapping = staged(labelled.join(firsts, "label").select("fp", "component_id"), "simhash-components")
-    return rows.join(broadcast_if_small(mapping), "fp").select("doc_id", "fp", "component_id")
+    return staged(labelled.join(firsts, "label").select("fp", "component_id"), "simhash-components")
 
 
-def keep_first(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_first(
+    docs: DataFrame,
+    *,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    find: Callable[..., DataFrame] = near_duplicates,
+    prints: Callable[..., DataFrame] = fingerprints,
+) -> DataFrame:
     """The documents with one row per component: the smallest id (a row with a null id where all are null).
 
     All columns are kept as they are. Only the dropped ids meet the texts, broadcast behind a count. Of rows of a
-    component that repeat its smallest id, the one with the smallest hash of its columns stays.
+    component that repeat its smallest id, the one with the smallest hash of its columns stays. ``find`` tells the
+    components, over the fingerprints of ``prints``.
     """
-    found = staged(near_duplicates(docs, doc_id=doc_id, text=text), "simhash-result")
+    found = staged(find(docs, doc_id=doc_id, text=text), "simhash-result")
     stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
     ids = found.groupBy("doc_id").agg(
         F.min(stays).alias("always"), F.max(stays).alias("ever"), F.count(F.lit(1)).alias("n")
@@ -298,7 +310,7 @@ def keep_first(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -
     # Ids that repeat: their rows' own fingerprints tell which of them stay.
     fp, component = fresh(docs, "simhash_fp"), fresh(docs, "simhash_component")
     again = joined.where(F.col(ever)).select(*docs.columns)
-    printed = fingerprints(again, text=text, keep=tuple(docs.columns), name=fp)
+    printed = prints(again, text=text, keep=tuple(docs.columns), name=fp)
     kept_prints = found.where(stays).select(F.col("fp").alias(fp), F.col("component_id").alias(component)).distinct()
     same = (printed[fp] == kept_prints[fp]) & printed[doc_id].eqNullSafe(kept_prints[component])
     first = F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("first")
