@@ -280,18 +280,27 @@ def learn_and_identify(
     return identify(docs, model, text=text, keep=(doc_id,) if keep is None else keep)
 
 
+def with_letters(docs: DataFrame, *, text: str = "text") -> DataFrame:
+    """The documents whose text has a letter, by the same table as ``identify``."""
+
+    def chosen(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letters = Letters()
+        for part, texts in text_groups(batches, text, _GROUP_CHARS):
+            yield part.filter(pa.array([next(letters.words(one), None) is not None for one in texts], pa.bool_()))
+
+    return docs.mapInArrow(chosen, docs.schema)
+
+
 def keep_identified(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """The documents whose language can be told; columns stay as they are.
 
     Rejected are texts without a letter (null, empty, digits and signs alone). Text in several languages is kept.
+    Where no text has a language to learn from, texts with a letter stay: nothing speaks against them.
     """
+    model = train(docs.where(~held_out(doc_id)), text=text, lang=lang)
+    if not model.langs:
+        return with_letters(docs, text=text)
     clear = {c: f"own_{i}" for i, c in enumerate(docs.columns)}
-    labelled = learn_and_identify(
-        docs.withColumnsRenamed(clear),
-        doc_id=clear[doc_id],
-        text=clear[text],
-        lang=clear[lang],
-        keep=tuple(clear.values()),
-    )
+    labelled = identify(docs.withColumnsRenamed(clear), model, text=clear[text], keep=tuple(clear.values()))
     kept = labelled.where(F.col("lang_pred") != UNDETERMINED)
     return kept.select(*[F.col(own).alias(c) for c, own in clear.items()])

@@ -73,3 +73,13 @@ def test_a_chain_of_likenesses_is_one_component(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     assert plain_likeness(rows[0][1], rows[-1][1]) < 0.8
     assert [r.doc_id for r in jaccard.keep_first(frame).collect()] == plain_first(rows) == [0]
+
+
+def test_lettered_texts_stay_without_a_language_to_learn_from(spark):
+    rows = [(1, "Some words", None), (2, "12 34 !!", None), (3, None, None), (4, "слово", None), (5, "", None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = langid.keep_identified(frame)
+    assert kept.columns == frame.columns and sorted(r.doc_id for r in kept.collect()) == [1, 4]
+    folds = spark.range(50).select(F.col("id").alias("doc_id"), F.lit("one word").alias("text"))
+    held = folds.withColumn("lang", F.when(langid.held_out(), "en"))  # a language in the held-out fold alone
+    assert held.where("lang is not null").count() and langid.keep_identified(held).count() == 50
