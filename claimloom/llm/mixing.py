@@ -26,6 +26,8 @@ WEIGHT_CYCLE = (1, 2, 3)
 MAX_BITS = 16
 #: Rows per stretch of the shuffled order; stretches are summed first, then rows within each.
 ROWS_PER_STRETCH = 4096
+#: Sources per range where sources are ranked and summed.
+ROWS_PER_RANGE = 1 << 16
 
 
 def word_count(text: str = "text") -> Column:
@@ -39,33 +41,54 @@ def shuffle_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     )
 
 
+def in_order(rows: DataFrame, order: list[Column], sums: dict[str, Column], name: str) -> DataFrame:
+    """``rows`` with ``nth`` (from 1, by ``order``) and each of ``sums`` over the rows before.
+
+    Rows are cut into ranges of about ``ROWS_PER_RANGE``, whose sums come first; no window spans more than the rows
+    of a range, or one row a range.
+    """
+    ranges = max(1, math.ceil(rows.count() / ROWS_PER_RANGE))
+    ranged = staged(rows.repartitionByRange(ranges, *order).withColumn("range", F.spark_partition_id()), name)
+    parts = {"nth": F.lit(1).cast("long"), **sums}
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy("range").agg(*[F.sum(c).alias(k) for k, c in parts.items()])
+    offsets = totals.select("range", *[F.coalesce(F.sum(k).over(earlier), F.lit(0)).alias(f"{k}_to") for k in parts])
+    within = ranged.select("*", *[F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(k) for k, c in parts.items()])
+    before = {k: F.col(k) + F.col(f"{k}_to") for k in parts}
+    before["nth"] = (before["nth"] + 1).cast("int")
+    joined = within.join(F.broadcast(offsets), "range")
+    return joined.select(*rows.columns, *[c.alias(k) for k, c in before.items()])
+
+
 def plan_targets(sizes: DataFrame, *, cycle: tuple[int, ...] = WEIGHT_CYCLE, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """Per source of ``sizes`` (``source``, ``size``): ``rank``, ``source_size``, ``rows``, ``weight``, ``target``.
 
     Sources by code point, null last, weigh 1, 2, 3 and so on over again, and share the whole size. A target stops
     at ``max_epochs`` times its source's size and the excess is shared again by weight. In ascending order of
     limit per unit of weight the stopped sources come first, so one ordered pass finds them all: a
-    source stops when its limit is at most its share of what the sources before it left over. The windows span
-    the sources, one row each.
+    source stops when its limit is at most its share of what the sources before it left over. Sources are ranked and
+    summed by ranges; the driver gets one row of totals.
     """
     cycled = F.element_at(F.array(*[F.lit(w) for w in cycle]), ((F.col("rank") - 1) % len(cycle) + 1).cast("int"))
     limit = max_epochs * F.col("source_size").cast("double")
-    in_order = Window.orderBy(F.col("source").asc_nulls_last())
-    by_limit = Window.orderBy(F.col("source_size") * max_epochs / F.col("weight"), "rank")
-    before = by_limit.rowsBetween(Window.unboundedPreceding, -1)
-    here_on = by_limit.rowsBetween(0, Window.unboundedFollowing)
-    everywhere = Window.partitionBy()
-    left = F.col("total") - F.coalesce(F.sum(limit).over(before), F.lit(0.0))
     sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
-    shares = (
-        sources.withColumn("rank", F.row_number().over(in_order))
-        .withColumn("weight", cycled)
-        .withColumn("total", F.sum("source_size").over(everywhere).cast("double"))
-        .withColumn("stopped", limit <= left / F.sum("weight").over(here_on) * F.col("weight"))
-        .withColumn("stopped_size", F.sum(F.when(F.col("stopped"), limit).otherwise(0.0)).over(everywhere))
-        .withColumn("free_weight", F.sum(F.when(F.col("stopped"), 0).otherwise(F.col("weight"))).over(everywhere))
-    )
-    share = F.col("weight") * ((F.col("total") - F.col("stopped_size")) / F.col("free_weight"))
+    sources = staged(sources, "mix-sources")
+    ranked = in_order(sources, [F.col("source").asc_nulls_last()], {}, "mix-ranked")
+    weighted = ranked.withColumnRenamed("nth", "rank").withColumn("weight", cycled)
+    by_limit = [(F.col("source_size") * max_epochs / F.col("weight")).asc(), F.col("rank").asc()]
+    passed = in_order(weighted, by_limit, {"limit_before": limit, "weight_before": F.col("weight")}, "mix-limits")
+    whole = passed.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight")).first()
+    total, weights = float(whole["size"] or 0), whole["weight"] or 0
+    left = F.lit(total) - F.col("limit_before")
+    here_on = F.lit(weights) - F.col("weight_before")
+    shares = staged(passed.withColumn("stopped", limit <= left / here_on * F.col("weight")), "mix-shares")
+    stops = shares.agg(
+        F.sum(F.when(F.col("stopped"), limit).otherwise(0.0)).alias("size"),
+        F.sum(F.when(F.col("stopped"), 0).otherwise(F.col("weight"))).alias("free"),
+    ).first()
+    each = (total - stops["size"]) / stops["free"] if stops["free"] else None
+    share = F.col("weight") * F.lit(each).cast("double")
     return shares.select(
         "source", "rank", "source_size", "rows", "weight", F.when(F.col("stopped"), limit).otherwise(share).alias("target")
     )
@@ -115,12 +138,15 @@ def schedule(plan: DataFrame) -> Schedule:
     bits = min(MAX_BITS, math.ceil(math.log2(facts["slots"] + 1)))
     bits = max(bits, math.ceil(math.log2(4 * facts["sources"])))
     shared = (1 << bits) - facts["sources"]
-    upto = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
-    border = F.col("nth") + F.floor(F.sum("slots").over(upto) * F.lit(shared) / F.lit(facts["slots"])).cast("long")
+    summed = F.col("slots_before") + F.col("slots")
+    border, before = (
+        nth + F.floor(slots * F.lit(shared) / F.lit(facts["slots"])).cast("long")
+        for nth, slots in ((F.col("nth"), summed), (F.col("nth") - 1, F.col("slots_before")))
+    )
     intervals = (
-        active.withColumn("nth", F.row_number().over(Window.orderBy("rank")))
+        in_order(active, [F.col("rank").asc()], {"slots_before": F.col("slots")}, "mix-active")
         .withColumn("border", border)
-        .withColumn("from", F.lag("border", 1, 0).over(Window.orderBy("rank")))
+        .withColumn("from", before)
         .withColumn("share", F.col("border") - F.col("from"))
     )
     intervals = staged(intervals.select("rank", "slots", "blocks", "last", "from", "border", "share"), "mix-intervals")
@@ -140,7 +166,7 @@ def schedule(plan: DataFrame) -> Schedule:
         F.col("id").bitwiseAND(F.lit((1 << bits) - 1)).alias("place"),
     )
     slots = (
-        turns.join(F.broadcast(pattern), "place")
+        turns.join(broadcast_if_small(pattern), "place")
         .withColumn("turn", F.col("repeat") * F.col("share") + F.col("nth"))
         .where("turn < slots")
         .select(

@@ -83,3 +83,24 @@ def test_lettered_texts_stay_without_a_language_to_learn_from(spark):
     folds = spark.range(50).select(F.col("id").alias("doc_id"), F.lit("one word").alias("text"))
     held = folds.withColumn("lang", F.when(langid.held_out(), "en"))  # a language in the held-out fold alone
     assert held.where("lang is not null").count() and langid.keep_identified(held).count() == 50
+
+
+def test_many_sources_are_ranked_by_ranges(spark, monkeypatch):
+    docs = spark.range(3000).select(
+        F.col("id").alias("doc_id"),
+        F.expr("repeat('word ', cast(1 + id % 7 as int))").alias("text"),
+        F.expr("nullif(concat('host', id % 500), 'host7')").alias("source"),
+    )
+    results, plans = [], []
+    for bound, rows in ((200_000, 1 << 16), (10, 64)):
+        monkeypatch.setattr(mixing, "ROWS_PER_RANGE", rows)
+        monkeypatch.setattr(mixing, "broadcast_if_small", lambda df, bound=bound: F.broadcast(df) if df.count() <= bound else df)
+        taken, planned = mixing.mix(docs, block_words=4)
+        results.append(sorted(map(str, taken.collect())))
+        slots = planned.slots
+        plans.append(slots._jdf.queryExecution().optimizedPlan().toString())
+        results.append(sorted(map(tuple, slots.collect())))
+        ranks = [r["rank"] for r in planned.sources.orderBy(F.col("source").asc_nulls_last()).collect()]
+        assert ranks == list(range(1, 501))
+    assert results[:2] == results[2:]
+    assert "broadcast" in plans[0] and "broadcast" not in plans[1]
