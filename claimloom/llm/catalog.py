@@ -10,7 +10,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import exact, fingerprint, html, langid, license, lm, mixing, packing, quality, simhash
+from claimloom.llm import (
+    exact,
+    fingerprint,
+    html,
+    langid,
+    license,
+    lm,
+    mixing,
+    packing,
+    quality,
+    simhash,
+    trie,
+    warc,
+    whitening,
+)
 from claimloom.llm.common import text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +102,27 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    kind = pages.schema["page_id"].dataType
+    return warc.round_trip(pages).select(
+        F.col("record_id").cast(kind).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"),
+        "fault",
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of ``corpus_pipeline`` over the documents; the last one's sequences with digests of their ids."""
     import corpus_pipeline
@@ -108,6 +143,9 @@ QUERIES: dict[str, Query] = {
         op8_simhash,
         op9_licenses,
         op10_main_text,
+        op11_whitening,
+        op12_prefix_trie,
+        op13_warc,
         pipeline,
     )
 }
