@@ -104,3 +104,53 @@ def test_many_sources_are_ranked_by_ranges(spark, monkeypatch):
         assert ranks == list(range(1, 501))
     assert results[:2] == results[2:]
     assert "broadcast" in plans[0] and "broadcast" not in plans[1]
+
+
+def near_copy_rows(groups=12, copies=9, seed=11):
+    """Texts around shared passages: copies with some words changed, and other texts that hold the same passage."""
+    random = np.random.default_rng(seed)
+    words = [f"w{n}" for n in random.integers(0, 100_000, 4000)]
+    passage, rows = words[:90], []
+    for g in range(groups):
+        own = words[100 + 40 * g : 100 + 40 * g + 12 + 3 * g]
+        for _ in range(copies):
+            text = [*own, *passage, *words[3000 + 30 * g : 3000 + 30 * g + 5 + 2 * g]]
+            for at in random.integers(0, len(text), int(random.integers(0, 4))):
+                text[at] = f"x{random.integers(0, 1000)}"
+            rows.append((len(rows), " ".join(text)))
+    return rows
+
+
+def test_every_way_of_meeting_finds_the_same_near_copies(spark, monkeypatch):
+    rows = near_copy_rows()
+    want = plain_first(rows)
+    assert 1 < len(want) < len(rows)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for stars, texts, shingles, small in ((3, 256, 1 << 21, True), (0, 256, 1 << 21, True), (0, 7, 1 << 21, False), (1, 256, 500, True)):
+        monkeypatch.setattr(jaccard, "STAR_ROUNDS", stars)
+        monkeypatch.setattr(jaccard, "TILE_TEXTS", texts)
+        monkeypatch.setattr(jaccard, "TILE_SHINGLES", shingles)
+        if not small:
+            monkeypatch.setattr(jaccard, "broadcast_if_small", lambda df, rows=0: df)
+        assert sorted(r.doc_id for r in jaccard.keep_first(frame).collect()) == want
+
+
+def test_the_prefix_join_leaves_out_no_pair(spark):
+    rows = near_copy_rows(8, 6, 3)
+    sets = [jaccard.hashes_of(jaccard.words_of(t)).view(np.int64).tolist() for _, t in rows]
+    texts = spark.createDataFrame([(i, i, s) for i, s in enumerate(sets)], "fp long, label long, set array<long>")
+    pairs = jaccard.prefix_pairs(texts.select("fp", "label"), texts.select("fp", "set"))
+    met = {(r.a, r.b) for r in pairs.collect()}
+    alike = {(i, j) for j in range(len(rows)) for i in range(j) if plain_likeness(rows[i][1], rows[j][1]) >= 0.8}
+    assert alike and alike <= met and len(met) < len(rows) * (len(rows) - 1) / 2
+    found = jaccard.compared(pairs, texts.select("fp", "set"))
+    assert {(r.a, r.b) for r in found.collect()} == alike
+
+
+def test_near_copies_of_very_long_and_repeated_texts(spark):
+    long = " ".join(f"n{k}" for k in range(150_000))
+    rows = [(5, long), (3, long + " more"), (3, long + " more"), (9, "other " + long), (None, "alone here"), (None, "alone here")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.doc_id, r.component_id) for r in jaccard.near_duplicates(frame).collect()}
+    assert found == {(5, 3), (3, 3), (9, 3), (None, None)}
+    assert sorted(str(r.doc_id) for r in jaccard.keep_first(frame).collect()) == ["3", "None"]
