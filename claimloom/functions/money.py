@@ -39,9 +39,12 @@ def _parts(amount: Column) -> dict[str, Column]:
     }
 
 
-def partial_sums(amount: Column) -> list[Column]:
-    """First level: the sums of the parts, under the names of ``PARTS``."""
-    return [F.sum(part).alias(name) for name, part in _parts(amount).items()]
+def partial_sums(amount: Column, times: Column | None = None) -> list[Column]:
+    """First level: the sums of the parts, under the names of ``PARTS``; a row counts so many ``times``."""
+    parts = _parts(amount)
+    if times is not None:
+        parts = {name: (part * times).cast(PARTS[name]) for name, part in parts.items()}
+    return [F.sum(part).alias(name) for name, part in parts.items()]
 
 
 def _joined(sums: dict[str, Column]) -> Column:

@@ -24,21 +24,47 @@ from claimloom.operators.quantiles import day_quantile, exact_quantiles, one_qua
 _DAYS = "days_to_resolution"
 
 
-def _per_day(df: DataFrame, keys: Sequence[str], *extra: Column) -> DataFrame:
+def _count(weight: str | None, where: Column | None = None) -> Column:
+    """How many claims there are (where something holds): a row is one, or as many as its ``weight`` says."""
+    if weight is None:
+        return F.count(F.lit(1)) if where is None else F.count_if(where)
+    times = F.col(weight) if where is None else F.when(where, F.col(weight)).otherwise(0)
+    return F.coalesce(F.sum(times), F.lit(0).cast("bigint"))
+
+
+def _per_day(df: DataFrame, keys: Sequence[str], *extra: Column, weight: str | None = None) -> DataFrame:
     """First level: partial results per group and day count; rows with a null group are left out."""
     amount = F.col("claim_amount")
     return (
         df.where(all_present(keys))
         .groupBy(*keys, _DAYS)
         .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count(amount).alias("n_amount"),
-            *money.partial_sums(amount),
+            _count(weight).alias("n"),
+            (F.count(amount) if weight is None else _count(weight, amount.isNotNull())).alias("n_amount"),
+            *money.partial_sums(amount, None if weight is None else F.col(weight)),
             *extra,
         )
     )
 
 
+def _mean_and_variance(amount: Column, weight: str | None) -> list[Column]:
+    """Of the amounts of one first-level row. Weighted, the squares are added in whole cents as far as decimals hold them."""
+    if weight is None:
+        return [F.avg(amount).alias("mean"), F.var_pop(amount).alias("variance")]
+    times = F.when(amount.isNotNull(), F.col(weight))
+    n, total = F.sum(times), F.sum(amount * times)
+    mean = F.try_divide(total, n)
+    whole = F.when(F.abs(amount) < 1e9, F.rint(amount * 100)).cast("decimal(12,0)")
+    exact = F.rint(amount * 100) / 100 == amount
+    cents = F.when(exact, whole)
+    square, line = F.sum((cents * cents * times).cast("decimal(38,0)")), F.sum((cents * times).cast("decimal(28,0)"))
+    held = F.count_if(amount.isNotNull() & cents.isNull()) == 0
+    apart = F.try_subtract(F.try_multiply(square, n.cast("decimal(12,0)")), F.try_multiply(line, line)).cast("double")
+    by_cents = F.when(held, F.try_divide(apart, n.cast("double") * n * 10_000))
+    by_doubles = F.greatest(F.try_divide(F.sum(amount * amount * times), n) - mean * mean, F.lit(0.0))
+    return [mean.alias("mean"), F.coalesce(by_cents, by_doubles).alias("variance")]
+
+
 def _total_amount() -> Column:
     return money.total_of()
 
@@ -66,12 +92,15 @@ def _percent(part: Column, whole: Column) -> Column:
     return F.bround(F.try_divide(part, whole) * 100, 2)
 
 
-def _approved() -> Column:
-    return F.count_if(F.col("status") == "approved").alias("approved")
+def _approved(weight: str | None) -> Column:
+    return _count(weight, F.col("status") == "approved").alias("approved")
+
 
+def monthly_summary(df: DataFrame, *, weight: str | None = None) -> DataFrame:
+    """Per month and amount category: counts, amounts, durations and approval rate.
 
-def monthly_summary(df: DataFrame) -> DataFrame:
-    """Per month and amount category: counts, amounts, durations and approval rate."""
+    Here and below, ``weight`` names a column that tells how many claims a row stands for.
+    """
     keys = ["submitted_year", "submitted_month", "claim_amount_category"]
     amount = F.col("claim_amount")
     days = _per_day(
@@ -79,9 +108,9 @@ def monthly_summary(df: DataFrame) -> DataFrame:
         keys,
         F.min(amount).alias("low"),
         F.max(amount).alias("high"),
-        F.avg(amount).alias("mean"),
-        F.var_pop(amount).alias("variance"),
-        _approved(),
+        *_mean_and_variance(amount, weight),
+        _approved(weight),
+        weight=weight,
     )
     # Spread around the group's mean, so that equal amounts give exactly 0.
     group = Window.partitionBy(*keys)
@@ -115,10 +144,10 @@ def monthly_summary(df: DataFrame) -> DataFrame:
     )
 
 
-def status_breakdown(df: DataFrame) -> DataFrame:
+def status_breakdown(df: DataFrame, *, weight: str | None = None) -> DataFrame:
     """Per status: counts, amounts, mean duration and share of all claims."""
     grouped = (
-        _per_day(df, ["status"])
+        _per_day(df, ["status"], weight=weight)
         .groupBy("status")
         .agg(
             F.sum("n").alias("num_claims"),
@@ -134,10 +163,10 @@ def status_breakdown(df: DataFrame) -> DataFrame:
     )
 
 
-def claim_type_analysis(df: DataFrame) -> DataFrame:
+def claim_type_analysis(df: DataFrame, *, weight: str | None = None) -> DataFrame:
     """Per claim type: counts, amounts with the exact median, durations and approval rate."""
     grouped = (
-        _per_day(df, ["claim_type"], _approved())
+        _per_day(df, ["claim_type"], _approved(weight), weight=weight)
         .groupBy("claim_type")
         .agg(
             F.sum("n").alias("num_claims"),
@@ -149,7 +178,7 @@ def claim_type_analysis(df: DataFrame) -> DataFrame:
         )
     )
     medians = exact_quantiles(
-        df, "claim_amount", [0.5], by="claim_type", known_groups=V.CLAIM_TYPES
+        df, "claim_amount", [0.5], by="claim_type", known_groups=V.CLAIM_TYPES, weight=weight
     ).select("claim_type", F.col("quantile").alias("median_amount"))
     return (
         grouped.join(medians, "claim_type", "left")
@@ -188,12 +217,12 @@ def _bucket_order(days: Column) -> Column:
     return order
 
 
-def resolution_time_analysis(df: DataFrame) -> DataFrame:
+def resolution_time_analysis(df: DataFrame, *, weight: str | None = None) -> DataFrame:
     """Per resolution bucket: counts, mean amount and durations.
 
     All six buckets appear, empty ones with a count of 0, unless no claim is resolved at all.
     """
-    days = _per_day(df.where(F.col(_DAYS).isNotNull()), []).withColumn(
+    days = _per_day(df.where(F.col(_DAYS).isNotNull()), [], weight=weight).withColumn(
         "bucket_order", _bucket_order(F.col(_DAYS))
     )
     # A row of zeros per bucket stands in for a join with the list of buckets.

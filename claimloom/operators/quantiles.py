@@ -33,16 +33,20 @@ def exact_quantiles(
     *,
     by: str | None = None,
     known_groups: Sequence[str] | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Linearly interpolated quantiles: rows of (``by``, probability, quantile).
 
+    With ``weight`` a row stands for so many values.
+
     Null values and null groups are left out. ``known_groups`` lists the groups expected: for those
     the wanted bins are at most two per group and probability, so they are broadcast and the second
     scan shuffles next to nothing. Any other group goes through a plain join and is just as exact.
     """
     keys = [by] if by else []
     present = df.where(all_present([*keys, value]))
-    rows = present.select(*keys, F.col(value).cast("double").alias("__v"))
+    times = F.lit(1) if weight is None else F.col(weight)
+    rows = present.select(*keys, F.col(value).cast("double").alias("__v"), times.alias("__w"))
     rows = rows.withColumn("__bin", _bin(F.col("__v")))
 
     wanted = _wanted_bins(rows, keys, probabilities)
@@ -81,7 +85,7 @@ def exact_quantiles(
 def _wanted_bins(rows: DataFrame, keys: list[str], probabilities: Sequence[float]) -> DataFrame:
     """The bins that hold a wanted rank, with the number of values before each bin."""
     counted = rows.groupBy(*keys, "__bin").agg(
-        F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__from"), F.max("__v").alias("__to")
+        F.sum("__w").alias("__n"), F.min("__v").alias("__from"), F.max("__v").alias("__to")
     )
     group = Window.partitionBy(*keys)
     running = F.sum("__n").over(group.orderBy("__bin").rowsBetween(Window.unboundedPreceding, 0))
@@ -115,12 +119,12 @@ def _wanted_parts(candidates: DataFrame, bin_keys: list[str]) -> tuple[DataFrame
 
 
 def _count_values(joined: DataFrame, wanted_columns: Sequence[str]) -> DataFrame:
-    return joined.groupBy(*wanted_columns, "__v").agg(F.count(F.lit(1)).alias("__n"))
+    return joined.groupBy(*wanted_columns, "__v").agg(F.sum("__w").alias("__n"))
 
 
 def _join_counts(rows: DataFrame, wanted: DataFrame, join_on: list[str]) -> DataFrame:
     """Count equal values before the join, so that a frequent value travels as one row per task."""
-    counted = rows.groupBy(*join_on, "__v").agg(F.count(F.lit(1)).alias("__n"))
+    counted = rows.groupBy(*join_on, "__v").agg(F.sum("__w").alias("__n"))
     return counted.join(wanted, join_on).select(*wanted.columns, "__v", "__n")
 
 

@@ -94,8 +94,20 @@ def add_transformation_metadata(df: DataFrame, run_ts: dt.datetime | str) -> Dat
     )
 
 
+def latest_claims(bronze: DataFrame) -> DataFrame:
+    """The latest raw version of each claim, as text, with its version columns.
+
+    Of what this keeps and further loads it keeps the same again, so states built load by load equal one full run.
+    """
+    return bronze.transform(standardize_columns).transform(drop_null_keys).transform(deduplicate)
+
+
 def transform_claims(bronze: DataFrame, run_ts: dt.datetime | str) -> DataFrame:
-    latest = bronze.transform(standardize_columns).transform(drop_null_keys).transform(deduplicate)
+    return clean_claims(latest_claims(bronze), run_ts)
+
+
+def clean_claims(latest: DataFrame, run_ts: dt.datetime | str) -> DataFrame:
+    """Clean and enrich rows of ``latest_claims``."""
     return (
         latest.drop(*VERSION_COLUMNS)
         .transform(fill_defaults)

@@ -17,12 +17,13 @@ from pyspark.sql import functions as F
 
 from claimloom.functions import rules
 from claimloom.functions import vocabulary as V
-from claimloom.operators import bronze, gold, profile, quality, runs, silver
+from claimloom.operators import bronze, counts, gold, profile, quality, runs, silver
 from claimloom.plans import recipes
 from claimloom.plans.pipeline import Lake, run_pipeline
 from claimloom.schemas import CLAIM_COLUMNS, SCHEMAS, as_strings
 from claimloom.sources import readers, writers
 from claimloom.sources.scratch import scratch_path
+from claimloom.sources.state import Buckets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,6 +71,25 @@ def tracked_runs(spark: SparkSession, sf_dir: str, path: str) -> None:
         run_pipeline(spark, load, path, run_seq=run_seq, run_ts=RUN_TS, csv_exports=False)
 
 
+@written_once
+def merged_loads(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The loads merged one by one, a part of the second one before the first; changes of the counts stored with each."""
+    claims = recipes.raw_claims(spark, sf_dir)
+    early = F.col("_ingested_at") <= F.lit(recipes.FIRST_LOAD).cast("timestamp_ntz")
+    even = F.pmod("_record_id", F.lit(4)) < 2
+    state = claims_state(path)
+    for load in (claims.where(~early & even), claims.where(early), claims.where(~early & ~even)):
+        merged = state.merge(load)
+        if merged["buckets"]:
+            before, after = state.changes(spark, merged["generation"])
+            clean = [None if rows is None else silver.clean_claims(rows, RUN_TS) for rows in (before, after)]
+            counts.record_changes(*clean, f"{path}/counts", merged["generation"])
+
+
+def claims_state(path: str) -> Buckets:
+    return Buckets(f"{path}/state", "claim_id", silver.latest_claims, count=16)
+
+
 @written_once
 def refused_run(spark: SparkSession, sf_dir: str, path: str) -> None:
     """A run over what was loaded before the first load: nothing, so the gate stops it."""
@@ -133,6 +153,24 @@ def bronze_json_scan(spark, sf_dir):
     return readers.read_json(spark, path, SCHEMAS["claim_notes"])
 
 
+@query
+def bronze_json_array(spark, sf_dir):
+    """Pretty-printed arrays, read in as many tasks as they have splits."""
+    path = scratch_path(spark, "notes-arrays")
+    notes = recipes.claim_notes(spark, sf_dir)
+    recipes.write_json_arrays(notes, path, "note_id", files=max(4, notes.count() // 20_000))
+    return readers.read_json_array(spark, path, SCHEMAS["claim_notes"])
+
+
+@query
+def bronze_csv_multiline(spark, sf_dir):
+    """Addresses of several lines in quoted cells, read in as many tasks as the files have splits."""
+    path = scratch_path(spark, "mailed-csv")
+    writers.export_csv(recipes.mailed_customers(spark, sf_dir), path)
+    typed = readers.read_csv_records(spark, path, SCHEMAS["customers"])
+    return typed.withColumn("customer_income", F.col("customer_income").cast("double"))
+
+
 @query
 def bronze_notes(spark, sf_dir):
     return recipes.claim_notes(spark, sf_dir)
@@ -297,6 +335,39 @@ def silver_claims(spark, sf_dir):
     return silver.transform_claims(raw(spark, sf_dir), RUN_TS).drop("_transformed_at")
 
 
+@query
+def silver_upsert(spark, sf_dir):
+    """The state that three loads left, merged load by load and out of order."""
+    latest = claims_state(merged_loads(spark, sf_dir)).read(spark)
+    return silver.clean_claims(latest, RUN_TS).drop("_transformed_at")
+
+
+def kept_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A gold table from the counts that the merges kept up."""
+    kept = counts.read_counts(spark, f"{merged_loads(spark, sf_dir)}/counts")
+    return counts.KEPT_TABLES[name](kept)
+
+
+@query
+def kept_monthly_summary(spark, sf_dir):
+    return kept_table(spark, sf_dir, "monthly_summary").withColumn("std_claim_amount", F.bround("std_claim_amount", 4))
+
+
+@query
+def kept_status_breakdown(spark, sf_dir):
+    return kept_table(spark, sf_dir, "status_breakdown")
+
+
+@query
+def kept_claim_type_analysis(spark, sf_dir):
+    return kept_table(spark, sf_dir, "claim_type_analysis")
+
+
+@query
+def kept_resolution_time(spark, sf_dir):
+    return kept_table(spark, sf_dir, "resolution_time_analysis")
+
+
 @query
 def silver_customers(spark, sf_dir):
     cleaned = silver.transform_customers(recipes.raw_customers(spark, sf_dir), RUN_TS).drop("_transformed_at")

@@ -515,4 +515,17 @@ ORACLE: dict[str, str] = {
     "duplicate_flag": """select _record_id, claim_id,
         row_number() over (partition by claim_id order by _record_id) > 1 as is_duplicate from raw""",
 }
+# The same tables by other ways: records of several lines, loads merged one by one, counts kept up.
+ORACLE |= {
+    "bronze_json_array": ORACLE["bronze_json_scan"],
+    "bronze_csv_multiline": """select * replace (
+        if(customer_id like '%3', '"c/o"' || chr(10), '') || replace(customer_address, ', ', chr(10)) as customer_address)
+        from customers""",
+    "silver_upsert": ORACLE["silver_claims"],
+    "kept_monthly_summary": ORACLE["gold_monthly_summary"],
+    "kept_status_breakdown": ORACLE["gold_status_breakdown"],
+    "kept_claim_type_analysis": ORACLE["gold_claim_type_analysis"],
+    "kept_resolution_time": ORACLE["gold_resolution_time"],
+}
+
 ORACLE = {key: _sql(body) for key, body in ORACLE.items()}

@@ -133,3 +133,21 @@ def claim_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         (props["k"] % 5 + 1).cast("int").alias("severity_level"),
     )
+
+
+def mailed_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with postal addresses of several lines, some with quotes."""
+    lines = F.regexp_replace("customer_address", ", ", "\n")
+    quoted = F.when(F.col("customer_id").endswith("3"), F.concat(F.lit('"c/o"\n'), lines)).otherwise(lines)
+    return raw_customers(spark, sf_dir).withColumn("customer_address", quoted)
+
+
+def write_json_arrays(df: DataFrame, path: str, key: str, files: int = 4) -> None:
+    """Pretty-printed arrays, one a file; rows go to files by key."""
+    row = F.struct("__k", F.to_json(F.struct(*df.columns), {"pretty": "true", "ignoreNullFields": "false"}).alias("text"))
+    keyed = df.withColumn("__k", F.xxhash64(key)).withColumn("file", F.pmod("__k", F.lit(files)))
+    # A file's text is one row, as its writer holds it; files grow in number, not in size, with the table.
+    texts = keyed.groupBy("file").agg(F.sort_array(F.collect_list(row)).alias("rows"))
+    joined = F.array_join(F.transform("rows", lambda x: x["text"]), ",\n")
+    array = F.concat(F.lit("[\n"), F.regexp_replace(joined, r"(?m)^", "  "), F.lit("\n]"))
+    texts.select("file", array.alias("value")).write.partitionBy("file").text(path)

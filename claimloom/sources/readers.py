@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Mapping
+from types import MappingProxyType
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from claimloom.functions.vocabulary import MISSING_CELLS
 from claimloom.schemas import CORRUPT_COLUMN
+from claimloom.sources.records import csv_records, json_records
 
 PARSE_MODES = ("PERMISSIVE", "DROPMALFORMED", "FAILFAST")
 
@@ -32,7 +34,7 @@ def read_csv(
     """Read CSV with the given schema; a cell that does not fit its type becomes null.
 
     ``keep_corrupt`` adds the raw line of such rows as ``_corrupt_record``. Quoted line breaks
-    need ``multi_line``, which gives up splitting a file over several tasks.
+    need ``multi_line``, which gives up splitting a file over several tasks; ``read_csv_records`` does not.
     """
     _check_mode(mode)
     return (
@@ -61,7 +63,7 @@ def read_json(
     """Read JSON with the given schema.
 
     One record per line is the default and splits over tasks. A pretty-printed array needs
-    ``multi_line``; each such file is then read whole by one task. (Reading line-delimited files
+    ``multi_line``; each such file is then read whole by one task (``read_json_array`` splits it). (Reading line-delimited files
     with ``multi_line`` would return only the first record of each.)
     """
     _check_mode(mode)
@@ -74,6 +76,65 @@ def read_json(
     )
 
 
+def read_json_array(
+    spark: SparkSession, path: str, schema: T.StructType, *, mode: str = "PERMISSIVE", keep_corrupt: bool = False
+) -> DataFrame:
+    """Read files that each hold one JSON array, pretty-printed or not, with as many tasks as they have splits.
+
+    The result is that of ``read_json`` with ``multi_line``, but an element that cannot be read costs only itself
+    (elements that share its lines, if it cannot be told where it ends): a row of nulls, with its text in
+    ``_corrupt_record`` if that is asked for, or no row, or an error, by ``mode``.
+    """
+    return _parsed(json_records(spark, path), schema, F.from_json, mode, keep_corrupt)
+
+
+def read_csv_records(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    *,
+    header: bool = True,
+    delimiter: str = ",",
+    mode: str = "PERMISSIVE",
+    keep_corrupt: bool = False,
+) -> DataFrame:
+    """Read CSV whose quoted cells may hold line breaks, with as many tasks as the files have splits.
+
+    The result is that of ``read_csv`` with ``multi_line``, for lines that end in LF or CRLF. A quote is data unless a
+    cell begins with it.
+    """
+    records = csv_records(spark, path, delimiter=delimiter)
+    if header:
+        first = records.groupBy("file").agg(F.min("record").alias("first"))
+        records = records.join(first, "file").where(F.col("record") > F.col("first"))
+    options = {"sep": delimiter, "escape": '"', "timestampFormat": "yyyy-MM-dd HH:mm:ss"}
+    return _parsed(records, schema, F.from_csv, mode, keep_corrupt, options)
+
+
+def _parsed(
+    records: DataFrame,
+    schema: T.StructType,
+    parse: Callable[..., Column],
+    mode: str,
+    keep_corrupt: bool,
+    options: Mapping[str, str] = MappingProxyType({}),
+) -> DataFrame:
+    """One row per record text. A column cannot be parsed DROPMALFORMED, so malformed records go afterwards."""
+    _check_mode(mode)
+    strict = mode == "FAILFAST"
+    # A file's columns are nullable whatever the schema declares; a strict parse has no place for malformed text.
+    fields = [T.StructField(f.name, f.dataType) for f in schema.fields]
+    whole = fields if strict else [*fields, T.StructField(CORRUPT_COLUMN, T.StringType())]
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in whole)
+    settings = {"mode": "FAILFAST" if strict else "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN, **options}
+    rows = records.select(parse("text", ddl, settings).alias("row")).select("row.*")
+    if mode == "DROPMALFORMED":
+        rows = rows.where(F.col(CORRUPT_COLUMN).isNull())
+    if keep_corrupt:
+        return rows.withColumn(CORRUPT_COLUMN, F.lit(None).cast("string")) if strict else rows
+    return rows.select(*schema.fieldNames())
+
+
 def parse_json(text: Column, schema: T.StructType | str, mode: str = "PERMISSIVE") -> Column:
     """The same schema enforcement for a column that holds JSON text."""
     if mode not in ("PERMISSIVE", "FAILFAST"):

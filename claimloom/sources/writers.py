@@ -67,12 +67,16 @@ def _folder(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
     return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds, from one listing; none if there is no such folder."""
+    folder, system = _folder(spark, path)
+    return [status.getPath().getName() for status in system.listStatus(folder)] if system.exists(folder) else []
+
+
 def runs_of(spark: SparkSession, path: str) -> list[int]:
     """Numbers of the runs that wrote the table, ascending: one listing of folder names, no file is looked at."""
-    folder, system = _folder(spark, path)
-    names = [status.getPath().getName() for status in system.listStatus(folder)]
     mark = f"{RUN_COLUMN}="
-    return sorted(int(name.removeprefix(mark)) for name in names if name.startswith(mark))
+    return sorted(int(name.removeprefix(mark)) for name in folder_names(spark, path) if name.startswith(mark))
 
 
 def read_as_of_run(
@@ -81,9 +85,11 @@ def read_as_of_run(
     """The table as the latest run up to ``run_seq`` left it (a run may have left no rows).
 
     Only the wanted run's folder is opened. With ``merge_schema`` columns that other runs have are null.
-    When no run is that early, the table is empty.
+    When no run is that early, the table is empty; where no run has written anything, there is no table to read.
     """
     runs = runs_of(spark, path)
+    if not runs:
+        raise FileNotFoundError(f"no run has written to {path}")
     found = [n for n in runs if run_seq is None or n <= run_seq]
     read = spark.read.option("basePath", path)
     state = read.parquet(run_path(path, found[-1] if found else runs[0]))
