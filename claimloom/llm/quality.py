@@ -32,6 +32,8 @@ THRESHOLD = 0.7
 #: Units that entered the vocabulary of a task before it is begun anew (memory only; results do not change).
 _CACHE_UNITS = 500_000
 _GROUP_CHARS = 1_000_000
+#: Units whose windows are summed at once: one dimension of theirs stays in a core's cache.
+_WINDOWS_AT_ONCE = 1 << 17
 _RUNS = re.compile(r"[^\W\d_]+|\d+")
 _SIGNS = re.compile(r"[\W_]+")
 _REPEAT_ROWS = tuple(zlib.crc32(unit) % ROWS for unit in (b"repeated", b"changed"))
@@ -78,6 +80,30 @@ def index_vectors() -> tuple[np.ndarray, np.ndarray]:
     return places, signs
 
 
+def dense_vectors() -> np.ndarray:
+    """The index vectors of all rows, a line a dimension; one row more that is zero."""
+    places, signs = index_vectors()
+    vectors = np.zeros((ROWS + 1, DIMENSIONS), np.int8)
+    np.put_along_axis(vectors[:ROWS], places, signs.astype(np.int8), 1)
+    return np.ascontiguousarray(vectors.T)
+
+
+def add_windows(table: np.ndarray, rows: np.ndarray, vectors: np.ndarray) -> None:
+    """Add to each row of ``table`` (a line a dimension) the vectors of its neighbours; the ends of ``rows`` are neighbours only.
+
+    A dimension at a time: its entries are gathered once, added up over the window by shifts, and summed by row.
+    """
+    size = len(rows) - 2 * WINDOW
+    centre = rows[WINDOW:-WINDOW]
+    for line, entries in zip(table, vectors, strict=True):
+        near = entries.take(rows)
+        sums = np.zeros(size, np.int8)  # of 2 * WINDOW entries of -1, 0 or 1
+        for shift in range(2 * WINDOW + 1):
+            if shift != WINDOW:
+                sums += near[shift : shift + size]
+        line += np.bincount(centre, weights=sums, minlength=ROWS + 1)
+
+
 def context_table(docs: DataFrame, *, text: str = "text") -> np.ndarray:
     """Context vectors over every whole text, scaled to length 1, plus the index vectors.
 
@@ -88,20 +114,15 @@ def context_table(docs: DataFrame, *, text: str = "text") -> np.ndarray:
     schema = "unit int, " + ", ".join(f"{c} long" for c in columns)
 
     def add_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units, (places, signs) = Units(), index_vectors()
-        table = np.zeros(ROWS * DIMENSIONS)
+        units, vectors = Units(), dense_vectors()
+        table = np.zeros((DIMENSIONS, ROWS + 1))
+        apart = np.full(WINDOW, ROWS)  # rows without a vector, so that no window reaches into the next text
         for _, texts in text_groups(batches, read, _GROUP_CHARS):
-            parts = [units(one) for one in texts]
-            rows = np.concatenate(parts) if parts else np.empty(0, np.int64)
-            owner = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
-            for distance in range(1, WINDOW + 1):
-                together = owner[:-distance] == owner[distance:]
-                left, right = rows[:-distance][together], rows[distance:][together]
-                for at, beside in ((left, right), (right, left)):
-                    for k in range(NON_ZERO):
-                        cells = at * DIMENSIONS + places[beside, k]
-                        table += np.bincount(cells, weights=signs[beside, k], minlength=len(table))
-        whole = table.astype(np.int64).reshape(ROWS, DIMENSIONS)
+            rows = np.concatenate([apart, *(x for one in texts for x in (units(one), apart))])
+            for k in range(WINDOW, len(rows) - WINDOW, _WINDOWS_AT_ONCE):
+                part = rows[k - WINDOW : min(k + _WINDOWS_AT_ONCE, len(rows) - WINDOW) + WINDOW]
+                add_windows(table, part, vectors)
+        whole = table[:, :ROWS].T.astype(np.int64)
         used = np.flatnonzero(whole.any(axis=1))
         yield pa.RecordBatch.from_arrays(
             [pa.array(used.astype(np.int32)), *[pa.array(whole[used, i]) for i in range(DIMENSIONS)]],
