@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from claimloom.llm.common import broadcast_if_small, fresh, lower_ascii, staged, text_or_empty
 
 PREFIX_CHARS = 128
+#: Bits for each group of texts that share length and prefix, and at most in all; a row of the table has as many as Spark's bitmaps.
+BITS_PER_GROUP, MOST_BITS, BITS_PER_ROW = 16, 1 << 30, 1 << 15
 
 
 def full_hash(text: Column) -> Column:
@@ -36,26 +38,45 @@ def surviving_groups(docs: DataFrame, text: str = "text", prefix_chars: int = PR
     )
 
 
+def marked(size: str | Column, prefix: str | Column, bits: int) -> tuple[Column, Column]:
+    """The row of the bit table and the place in it that stand for a group."""
+    at = F.pmod(F.xxhash64(size, prefix), F.lit(bits))
+    return F.floor(at / F.lit(BITS_PER_ROW)).cast("int"), at % F.lit(BITS_PER_ROW)
+
+
+def bit_table(survivors: DataFrame) -> tuple[DataFrame, int]:
+    """``bit_row``, ``bit_map``: a bit for each surviving group, and how many bits there are.
+
+    ``BITS_PER_GROUP`` a group up to ``MOST_BITS``, so that a text of no group is taken for one of a group once in 16
+    times; beyond that the table fills up and more texts are hashed, with the same result.
+    """
+    wanted = max(1, survivors.count()) * BITS_PER_GROUP
+    bits = min(MOST_BITS, max(BITS_PER_ROW, 1 << (wanted - 1).bit_length()))
+    row, place = marked("n_bytes", "prefix_hash", bits)
+    placed = survivors.select(row.alias("bit_row"), place.alias("place"))
+    return staged(placed.groupBy("bit_row").agg(F.bitmap_construct_agg("place").alias("bit_map")), "dedup-bits"), bits
+
+
 def refine(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", prefix_chars: int = PREFIX_CHARS) -> DataFrame:
     """The documents with one column more, ``full_hash``: null where length or prefix already prove a text unique.
 
-    The list of surviving groups is broadcast behind a count. Beyond that bound every text is hashed where
-    it is read, since a hash costs less than shuffling the texts to the list.
+    Surviving groups are known by a table of bits of at most ``MOST_BITS`` (128 MB, a row of 4 KB for 32,768
+    of them), which is broadcast whatever the number of groups; texts are read where they are and never shuffled. A text that
+    shares a bit with a group it is not in is hashed too; hashes are compared exactly afterwards.
     """
     name = fresh(docs, "full_hash")
     content = text_or_empty(text)
-    survivors = staged(surviving_groups(docs, text, prefix_chars), "dedup-survivors")
-    hinted = broadcast_if_small(survivors)
-    if hinted is survivors:
-        return docs.withColumn(name, full_hash(lower_ascii(content)))
-    size, prefix, found = (fresh(docs, c) for c in ("n_bytes", "prefix_hash", "survives"))
-    marks = F.broadcast(survivors.toDF(size, prefix).withColumn(found, F.lit(True)))
+    table, bits = bit_table(staged(surviving_groups(docs, text, prefix_chars), "dedup-survivors"))
+    row, place, map_ = (fresh(docs, c) for c in ("bit_row", "bit_place", "bit_map"))
+    size, prefix = F.octet_length(content), F.xxhash64(lower_ascii(F.left(content, F.lit(prefix_chars))))
+    at_row, at_place = marked(size, prefix, bits)
+    octet = F.conv(F.hex(F.substring(F.col(map_), (F.col(place) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.pmod(F.floor(octet / F.pow(F.lit(2), F.col(place) % 8)), F.lit(2)) == 1
     return (
-        docs.withColumn(size, F.octet_length(content))
-        .withColumn(prefix, F.xxhash64(lower_ascii(F.left(content, F.lit(prefix_chars)))))
-        .join(marks, [size, prefix], "left")
-        .withColumn(name, F.when(F.col(found), full_hash(lower_ascii(content))))
-        .drop(size, prefix, found)
+        docs.withColumns({row: at_row, place: at_place})
+        .join(F.broadcast(table.toDF(row, map_)), row, "left")
+        .withColumn(name, F.when(bit, full_hash(lower_ascii(content))))
+        .drop(row, place, map_)
     )
 
 
