@@ -34,7 +34,7 @@ SIMILARITY = 0.8
 NUM, DEN = 4, 5
 BANDS = 40
 BAND_ROWS = 4
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 #: Texts, and shingles of all their texts, that are compared in one task.
 TILE_TEXTS = 256
 TILE_SHINGLES = 1 << 21
@@ -297,6 +297,8 @@ def links(slim: DataFrame, distinct: DataFrame) -> DataFrame:
             F.min("label").alias("low"), F.max("label").alias("high"), F.min_by(member, F.xxhash64("fp")).alias("first")
         )
         stars = staged(stars.where("low <> high").select("key", "first"), "jaccard-stars")
+        if stars.isEmpty():
+            break
         rows = staged(labelled.join(broadcast_if_small(stars), "key").where("fp <> first.fp"), "jaccard-mixed")
         pairs = rows.where("label <> first.label").where(similar_sizes("n", "first.n")).select(
             F.least("fp", "first.fp").alias("a"), F.greatest("fp", "first.fp").alias("b")

@@ -7,7 +7,7 @@ The model counts letter contexts per language over all training texts, in a fixe
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,6 +25,8 @@ SCRIPT_SHARE = 0.01
 #: What a word costs in a language whose texts do not use the word's script.
 OTHER_SCRIPT = 30.0
 UNDETERMINED = "und"
+#: A document is kept for its language if that is at least so sure: no language of three could be more in doubt.
+MIN_SCORE = 0.35
 _GROUP_CHARS = 2_000_000
 _SEGMENT_CHARS = 1 << 19
 
@@ -281,7 +283,10 @@ def learn_and_identify(
 
 
 def with_letters(docs: DataFrame, *, text: str = "text") -> DataFrame:
-    """The documents whose text has a letter, by the same table as ``identify``."""
+    """The documents whose text has a letter, by the same table as ``identify``.
+
+    Null and empty texts have none. Columns and repeated rows stay as they are; an empty table gives no rows.
+    """
 
     def chosen(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = Letters()
@@ -291,16 +296,28 @@ def with_letters(docs: DataFrame, *, text: str = "text") -> DataFrame:
     return docs.mapInArrow(chosen, docs.schema)
 
 
-def keep_identified(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """The documents whose language can be told; columns stay as they are.
+def keep_identified(
+    docs: DataFrame,
+    *,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    lang: str = "lang",
+    languages: Sequence[str] | None = None,
+    min_score: float = MIN_SCORE,
+) -> DataFrame:
+    """The documents whose language can be told, or is one of ``languages``; columns stay as they are.
 
-    Rejected are texts without a letter (null, empty, digits and signs alone). Text in several languages is kept.
-    Where no text has a language to learn from, texts with a letter stay: nothing speaks against them.
+    Rejected are texts without a letter (null, empty, digits and signs alone), and texts whose predicted language scores
+    under ``min_score``: no language holds enough of their letters, or none is enough more likely than the next.
+    Where no text has a language to learn from, texts with a letter stay: nothing speaks against them. Repeated
+    rows are judged each; an empty table gives no rows.
     """
     model = train(docs.where(~held_out(doc_id)), text=text, lang=lang)
     if not model.langs:
         return with_letters(docs, text=text)
     clear = {c: f"own_{i}" for i, c in enumerate(docs.columns)}
     labelled = identify(docs.withColumnsRenamed(clear), model, text=clear[text], keep=tuple(clear.values()))
-    kept = labelled.where(F.col("lang_pred") != UNDETERMINED)
+    kept = labelled.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score))
+    if languages is not None:
+        kept = kept.where(F.col("lang_pred").isin(list(languages)))
     return kept.select(*[F.col(own).alias(c) for c, own in clear.items()])

@@ -120,6 +120,9 @@ class Schedule:
 
     slots: DataFrame
     sources: DataFrame
+    #: The repeated part: ``place``, ``rank``, ``nth`` (of the source's places), ``share`` (how many it has).
+    pattern: DataFrame
+    bits: int = 0
 
 
 def schedule(plan: DataFrame) -> Schedule:
@@ -134,7 +137,8 @@ def schedule(plan: DataFrame) -> Schedule:
     facts = active.agg(F.count(F.lit(1)).alias("sources"), F.sum("slots").alias("slots")).first()
     if not facts["sources"]:
         empty = "slot long, rank int, turn long, epoch long, block long, cut long"
-        return Schedule(spark.createDataFrame([], empty), plan)
+        none = spark.createDataFrame([], "place long, rank int, nth int, share long, slots long, blocks long, last long")
+        return Schedule(spark.createDataFrame([], empty), plan, none)
     bits = min(MAX_BITS, math.ceil(math.log2(facts["slots"] + 1)))
     bits = max(bits, math.ceil(math.log2(4 * facts["sources"])))
     shared = (1 << bits) - facts["sources"]
@@ -178,7 +182,7 @@ def schedule(plan: DataFrame) -> Schedule:
             F.when(F.col("turn") == F.col("slots") - 1, F.col("last")).alias("cut"),
         )
     )
-    return Schedule(slots, plan)
+    return Schedule(slots, plan, pattern, bits)
 
 
 def shuffled_positions(sized: DataFrame, sources: DataFrame) -> DataFrame:
@@ -218,7 +222,8 @@ def mix(
 ) -> tuple[DataFrame, Schedule]:
     """Per document what the mix takes of it, and the schedule of blocks.
 
-    Rows: ``doc_id``, ``key``, ``size``, ``source``, ``source_size``, ``target``, ``taken``. Each source's taken words
+    Rows: ``doc_id``, ``key``, ``size``, ``source``, ``source_size``, ``target``, ``taken``, and ``rank`` (its source's) and
+    ``start`` (its first word's place in its source's shuffled order). Each source's taken words
     are its target rounded to whole words, no document exceeds ``MAX_EPOCHS`` times its size, and reruns agree. A
     null or empty text has size 0 and takes no part; a null source is a source of its own; rows that repeat are
     rows of their own; null ids are ordered by text. An empty table gives no rows. Other columns are not read.
@@ -247,37 +252,59 @@ def mix(
     whole = F.least(end, begins + wide) - low
     part = F.greatest(F.least(end, begins + F.coalesce("cut", F.lit(0).cast("long"))) - low, F.lit(0).cast("long"))
     taken = F.coalesce(F.sum(whole * F.coalesce("uses", F.lit(0).cast("long")) + part), F.lit(0).cast("long"))
-    same = [F.first(c).alias(c) for c in ("doc_id", "key", "size", "source", "source_size", "target")]
+    same = [F.first(c).alias(c) for c in ("doc_id", "key", "size", "source", "source_size", "target")]  # by rank and start
     summed = parts.join(used, ["rank", "block"], "left").groupBy("rank", "start").agg(*same, taken.alias("taken"))
-    columns = ["doc_id", "key", "size", "source", "source_size", "target", "taken"]
+    columns = ["doc_id", "key", "size", "source", "source_size", "target", "taken", "rank", "start"]
     idle = placed.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
     return summed.select(*columns).unionByName(idle.select(*columns)), planned
 
 
-def repeat_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """The documents as the mix holds them: once per epoch that takes at least half of their words.
-
-    Columns stay as they are. An epoch that ends early takes its source's shuffled documents up to a key, so
-    a document's count follows from its own key and its source's plan. Only the plan (a row a source)
-    meets the texts, which are never shuffled. Rows that repeat share a key and so a count. Empty documents
-    take no part and are left out.
+def scheduled(
+    docs: DataFrame,
+    *,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    slot: str = "slot",
+    block_words: int = BLOCK_WORDS,
+) -> DataFrame:
+    """The documents as the mix holds them, with ``slot``, the place of a document's first block in the schedule.
+
+    A document is there once per epoch that takes at least half of its words; each time it stands where the schedule has the
+    block with its first word. A slot follows from the repeated pattern by arithmetic, so only short rows meet the
+    pattern (broadcast behind a count), and the texts meet their slots once, by source and key. Rows that repeat
+    share a key, and so a count and slots. Empty documents take no part and are left out. ``slot`` takes the
+    name given in place of a column that bears it.
     """
-    taken, _ = mix(docs, doc_id=doc_id, text=text, source=source)
-    counts = taken.where("size > 0").select("source", "key", F.floor(F.col("taken") / F.col("size") + 0.5).alias("n"))
-    marked, least, most, until = (fresh(docs, c) for c in ("mix_source", "mix_least", "mix_most", "mix_until"))
-    ends = counts.groupBy("source", "n").agg(F.max("key").alias("key")).groupBy("source")
-    plan = staged(
-        ends.agg(
-            F.min("n").alias(least), F.max("n").alias(most), F.max_by("key", "n").alias(until)
-        ).withColumnRenamed("source", marked),
-        "mix-epochs",
-    )
-    times = F.when(shuffle_key(doc_id, text) <= F.col(until), F.col(most)).otherwise(F.col(least)).cast("int")
-    return (
-        docs.where(F.regexp_instr(text_or_empty(text), F.lit(WORD)) > 0)
-        .join(broadcast_if_small(plan), F.col(source).eqNullSafe(F.col(marked)))
-        .withColumn(most, times)
-        .where(F.col(most) > 0)
-        .withColumn(most, F.explode(F.sequence(F.lit(1), F.col(most))))
-        .select(*docs.columns)
+    taken, planned = mix(docs, doc_id=doc_id, text=text, source=source, block_words=block_words)
+    times = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
+    first = F.min_by(F.struct("start", times.alias("times")), "start").alias("at")
+    placed = taken.where("size > 0").groupBy("source", "key", "rank").agg(first)
+    epochs = placed.where("at.times > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("at.times") - 1)))
+    sources = planned.sources.select("rank", "blocks", "slots")
+    turn = F.least(F.col("epoch") * F.col("blocks") + F.expr(f"at.start div {block_words}"), F.col("slots") - 1)
+    shares = broadcast_if_small(staged(planned.pattern.select("rank", "share").distinct(), "mix-shares"))
+    turned = epochs.join(broadcast_if_small(sources), "rank").withColumn("turn", turn).join(shares, "rank")
+    turned = turned.withColumn("repeat", F.expr("turn div share")).withColumn("nth", (F.col("turn") % F.col("share")).cast("int"))
+    pattern = planned.pattern.select("rank", "nth", "place")
+    at = F.shiftleft(F.col("repeat"), planned.bits) + F.col("place")
+    of, key, own, to = (fresh(docs, c) for c in ("mix_source", "mix_key", "mix_own", "mix_slot"))
+    slots = turned.join(broadcast_if_small(pattern), ["rank", "nth"]).select(
+        F.col("source").alias(of), F.col("key").alias(key), at.alias(to)
     )
+    slots = staged(slots, "mix-slots")
+    kept = [c for c in docs.columns if c.lower() != slot.lower()]
+    marked = docs.where(F.regexp_instr(text_or_empty(text), F.lit(WORD)) > 0)
+    same = (F.col(own) == F.col(key)) & F.col(source).eqNullSafe(F.col(of))
+    met = marked.withColumn(own, shuffle_key(doc_id, text)).join(slots, same)
+    return met.select(*kept, F.col(to).alias(slot))
+
+
+def in_schedule_order(
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source"
+) -> DataFrame:
+    """The documents as the mix holds them, dealt out by ranges of slots and in their order: what a file holds is a stretch
+    of the schedule, in which the sources have their target shares. Columns stay as they are."""
+    slot = fresh(docs, "mix_slot")
+    mixed = scheduled(docs, doc_id=doc_id, text=text, source=source, slot=slot)
+    return mixed.repartitionByRange(slot, doc_id).sortWithinPartitions(slot, doc_id).select(*docs.columns)

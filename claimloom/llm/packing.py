@@ -8,14 +8,17 @@ so no sequence crosses documents, none is padded, and a batch drawn from one buc
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterable, Iterator
+import json
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimloom.llm.common import fresh, text_groups
+from claimloom.sources.scratch import scratch_path
 
 MAX_LENGTH = 1024
 END_ID = 0
@@ -30,10 +33,10 @@ def piece_lengths(tokens: int, max_length: int = MAX_LENGTH) -> list[int]:
 
 
 class Encoder:
-    """A public byte-level vocabulary; strings of special tokens in a text are ordinary text.
+    """The ids that ``tokenizers`` gives for a public byte-level vocabulary, special tokens not added.
 
-    ``tiktoken`` and ``tokenizers`` give the same ids. The first is several times faster and does the work; its
-    pattern matcher gives up on some runs of a million like characters, which the second reads.
+    ``tiktoken`` gives the same ids several times faster and does the work, but for texts that hold the string of a
+    special token, and for some runs of a million like characters on which its pattern matcher gives up.
     """
 
     def __init__(self, vocabulary: str = VOCABULARY):
@@ -46,15 +49,20 @@ class Encoder:
             vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
         self.path = public_tokenizers.path(f"{vocabulary}.json")
+        with open(self.path, encoding="utf-8") as f:
+            self.special = [token["content"] for token in json.load(f).get("added_tokens", [])]
+        self.tokenizer = None
 
     def slow(self, text: str) -> list[int]:
-        from tokenizers import Tokenizer
+        if self.tokenizer is None:
+            from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(self.path)
-        tokenizer.encode_special_tokens = True
-        return tokenizer.encode(text, add_special_tokens=False).ids
+            self.tokenizer = Tokenizer.from_file(self.path)
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def __call__(self, text: str) -> list[int]:
+        if any(token in text for token in self.special):
+            return self.slow(text)
         try:
             return self.fast.encode_ordinary(text)
         except BaseException as error:  # its failures in native code do not derive from Exception
@@ -121,15 +129,25 @@ def pack(
     )
 
 
-def buckets(packed: DataFrame) -> DataFrame:
-    """Per bucket (one length): its pieces, tokens and batches of ``MAX_LENGTH`` tokens."""
-    return packed.groupBy("length").agg(
-        F.count(F.lit(1)).alias("pieces"),
-        F.sum("length").alias("tokens"),
-        F.ceil(F.sum("length") / MAX_LENGTH).alias("batches"),
-    )
-
-
 def write_buckets(packed: DataFrame, path: str) -> None:
-    """One folder per length; a reader of one folder gets equal-length sequences only."""
+    """Write the pieces of ``pack`` with a folder ``bucket=<length>`` for each length.
+
+    A reader of one folder gets sequences of one length only. Tasks write their own files, without a shuffle. Pieces
+    that repeat are written each; an empty table writes no folder. A column named ``bucket`` is replaced.
+    """
     packed.withColumn("bucket", F.col("length")).write.partitionBy("bucket").parquet(path)
+
+
+def read_buckets(spark: SparkSession, path: str, schema: T.StructType, lengths: Sequence[int] | None = None) -> DataFrame:
+    """The pieces in ``path`` (of some lengths), with the columns of ``schema`` and ``bucket``, the length as a long."""
+    whole = T.StructType([f for f in schema.fields if f.name != "bucket"]).add("bucket", "long")
+    rows = spark.read.schema(whole).parquet(path)
+    return rows if lengths is None else rows.where(F.col("bucket").isin(list(lengths)))
+
+
+def pack_in_buckets(docs: DataFrame, *, keep: tuple[str, ...] = ("doc_id",), **options) -> DataFrame:
+    """The rows of ``pack`` (same arguments), read back from buckets of equal lengths in the shared folder."""
+    packed = pack(docs, keep=keep, **options)
+    path = scratch_path(docs.sparkSession, "buckets")
+    write_buckets(packed, path)
+    return read_buckets(docs.sparkSession, path, packed.schema)

@@ -224,17 +224,18 @@ def links(distinct: DataFrame, shared: int | None = None) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """``node``, ``label`` of every node with a link; nodes of one component share a label.
 
-    Contraction: every node joins the first among itself and its neighbours, in an order drawn anew each round,
+    Contraction: every node joins the first among itself and its neighbours, in an order drawn anew every other round,
     links are rewritten to what their ends joined, and links inside one node go. Each round is a table in the
     shared folder, and rounds end when no link is left: about the logarithm of the longest chain, as
-    the drawn orders leave a fraction of the nodes each time.
+    the drawn orders leave a fraction of the nodes each time. An order holds for two rounds, so that a star is one node
+    after them: its centre joins its first leaf, and then the others do.
     """
     edges = staged(edges.where("a <> b").distinct(), "links")
     labels, turn = None, 0
     while not edges.isEmpty():
         turn += 1
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        place = {c: F.struct(F.xxhash64(c, F.lit(turn)).alias("h"), F.col(c).alias("v")) for c in "ab"}
+        place = {c: F.struct(F.xxhash64(c, F.lit((turn + 1) // 2)).alias("h"), F.col(c).alias("v")) for c in "ab"}
         least = both.groupBy("a").agg(F.min(place["b"]).alias("near")).withColumn("own", place["a"])
         least = least.select(F.col("a").alias("node"), F.least("near", "own")["v"].alias("to"))
         least = staged(least, "links-round")
