@@ -17,7 +17,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents whose language cannot be told: those without a letter."""
+    """Drop documents whose language cannot be told: those without a letter, or with too low a score for any language."""
     return langid.keep_identified(docs)
 
 
@@ -27,18 +27,18 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by 0.8 of their five-word shingles the smallest ``doc_id`` stays."""
+    """Of documents linked by 0.8 of their five-word shingles the smallest ``doc_id`` stays: SimHash links, then the rest."""
     return jaccard.keep_first(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeat or leave out documents until the sources have their target shares."""
-    return mixing.repeat_documents(docs)
+    """Repeat or leave out documents until the sources have their target shares, in the order of the schedule."""
+    return mixing.in_schedule_order(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut documents into sequences of power-of-two lengths; the result is one row per sequence."""
-    return packing.pack(docs).withColumn("ids_crc32", F.crc32("ids"))
+    """Cut documents into sequences of power-of-two lengths, in a bucket for each length; one row per sequence."""
+    return packing.pack_in_buckets(docs).withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES: list[tuple[str, Stage]] = [
