@@ -40,7 +40,7 @@ def add_lineage(
     ingested_at: dt.datetime | Column | None = None,
     keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Add ingest time, origin, source name and a record id.
+    """Add ingest time, origin, source name and a record id, each where the frame does not bring its own.
 
     With ``keys`` the id is a digest of those columns, the same on every run and as unique as they are: each
     text goes in with its length, a null as a mark of its own. Without, it is only unique within this read. Without ``ingested_from`` each row names the file it came from, or the source
@@ -57,7 +57,7 @@ def add_lineage(
     else:
         origin = F.col("_metadata.file_path") if _names_files(df) else F.lit(source_name)
     values = (F.lit(ingested_at).cast("timestamp"), origin, F.lit(source_name), record_id)
-    return df.withColumns(dict(zip(LINEAGE_COLUMNS, values)))
+    return df.withColumns({name: value for name, value in zip(LINEAGE_COLUMNS, values) if name not in df.columns})
 
 
 def null_counts(columns: Sequence[str], prefix: str = "") -> list[Column]:

@@ -66,7 +66,7 @@ class RunLog:
     @contextmanager
     def phase(self, name: str) -> Iterator[dict]:
         """Time a phase. Numbers put into the yielded dict are recorded with duration and throughput
-        (``row_count`` per second); an error is recorded and raised again."""
+        (``row_count`` per second); an error is recorded with what there is by then, and raised again."""
         values: dict = {}
         start = time.time()
         self.status = "RUNNING"
@@ -75,7 +75,7 @@ class RunLog:
         except Exception as error:
             self.status = "FAILED"
             self.errors.append({"phase": name, "error": str(error)})
-            self.metrics(name, {"row_count": 0, "duration_seconds": time.time() - start}, "FAILED")
+            self.metrics(name, {"row_count": 0, **values, "duration_seconds": time.time() - start}, "FAILED")
             raise
         seconds = time.time() - start
         rows = values.get("row_count")
@@ -131,7 +131,8 @@ def phase_metrics(metrics: DataFrame) -> DataFrame:
 
 
 def throughput(metrics: DataFrame) -> DataFrame:
-    """Rows per second of every phase that reports rows; 0 when it took no time."""
+    """Rows per second of every phase that reports rows; 0 when it took no time. Reruns count once."""
+    metrics = latest_runs(metrics)
     value = {m: F.max(F.when(F.col("metric") == m, F.col("value"))) for m in ("row_count", "duration_seconds")}
     per_phase = metrics.groupBy("run_id", "run_seq", "phase").agg(*[c.alias(m) for m, c in value.items()])
     rate = F.try_divide(F.col("row_count"), F.col("duration_seconds"))
@@ -147,6 +148,11 @@ def latest_runs(metrics: DataFrame) -> DataFrame:
     return metrics.join(latest.select("run_id"), "run_id", "left_semi")
 
 
+def of_latest_runs(rows: DataFrame, metrics: DataFrame) -> DataFrame:
+    """Rows of another run table that belong to the latest run of every sequence number."""
+    return rows.join(latest_runs(metrics).select("run_id").distinct(), "run_id", "left_semi")
+
+
 def run_report(
     metrics: DataFrame, keys: Sequence[str], params: DataFrame | None = None, names: Sequence[str] = ()
 ) -> DataFrame:
@@ -176,12 +182,16 @@ def failed_phases(metrics: DataFrame) -> DataFrame:
 
 
 def run_delta(metrics: DataFrame) -> DataFrame:
-    """Every metric beside its value in the run before, per metric, with the change. Reruns count once."""
-    metrics = latest_runs(metrics)
-    by_metric = Window.partitionBy("metric_key").orderBy("run_seq")
-    previous = F.lag("value").over(by_metric)
+    """Every metric beside its value in the run before, per metric, with the change.
+
+    Reruns count once, and a failed run is never the run before.
+    """
+    failed = F.max((F.col("phase") == RUN) & (F.col("status") == "FAILED")).over(Window.partitionBy("run_id"))
+    metrics = latest_runs(metrics).withColumn("__failed", failed)
+    earlier = Window.partitionBy("metric_key").orderBy("run_seq").rowsBetween(Window.unboundedPreceding, -1)
+    previous = F.last(F.when(~F.col("__failed"), F.col("value")), ignorenulls=True).over(earlier)
     return (
-        phase_metrics(metrics)
+        metrics.withColumn("metric_key", _key())
         .select("run_seq", "metric_key", "value", previous.alias("previous_value"))
         .withColumn("delta", F.col("value") - F.col("previous_value"))
         .withColumn("changed", F.coalesce(F.col("delta") != 0, F.lit(False)))
@@ -189,7 +199,8 @@ def run_delta(metrics: DataFrame) -> DataFrame:
 
 
 def run_summary(metrics: DataFrame, params: DataFrame) -> DataFrame:
-    """One row per run: final status, phases, failed phases and seconds of work."""
+    """One row per run: final status, phases, failed phases and seconds of work. Reruns count once."""
+    metrics = latest_runs(metrics)
     phase = F.when(F.col("phase") != RUN, F.col("phase"))
     failed = F.when(F.col("status") == "FAILED", phase)
     seconds = F.when((F.col("phase") == RUN) & (F.col("metric") == "duration_seconds"), F.col("value"))

@@ -19,7 +19,7 @@ from claimloom.functions import rules
 from claimloom.functions import vocabulary as V
 from claimloom.operators import bronze, counts, gold, profile, quality, runs, silver
 from claimloom.plans import recipes
-from claimloom.plans.pipeline import Lake, run_pipeline
+from claimloom.plans.pipeline import Lake, LowRetention, run_pipeline
 from claimloom.schemas import CLAIM_COLUMNS, SCHEMAS, as_strings
 from claimloom.sources import readers, writers
 from claimloom.sources.scratch import scratch_path
@@ -92,10 +92,12 @@ def claims_state(path: str) -> Buckets:
 
 @written_once
 def refused_run(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """A run over what was loaded before the first load: nothing, so the gate stops it."""
-    none = raw(spark, sf_dir).where(F.col("_ingested_at") < F.lit(recipes.FIRST_LOAD).cast("timestamp_ntz"))
+    """A run over claims with gaps, of which silver keeps too few, and one over none, which the first gate stops."""
+    gaps = raw(spark, sf_dir).where("policy_id is null or submitted_date is null or status is null")
+    with suppress(LowRetention):
+        run_pipeline(spark, gaps, path, run_seq=1, run_ts=RUN_TS, min_retention=90.0)
     with suppress(bronze.EmptySource):
-        run_pipeline(spark, none, path, run_seq=1, run_ts=RUN_TS)
+        run_pipeline(spark, gaps.where("claim_id = policy_id"), path, run_seq=2, run_ts=RUN_TS)
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -509,7 +511,8 @@ def run_summary(spark, sf_dir):
 def run_params(spark, sf_dir):
     """Parameters of every run but the folders, which differ from session to session."""
     names = ["silver_transformation_version", "silver_output_columns", "final_status"]
-    params = run_table(spark, sf_dir, "run_params").where(F.col("name").isin(names))
+    params = runs.of_latest_runs(run_table(spark, sf_dir, "run_params"), metric_rows(spark, sf_dir))
+    params = params.where(F.col("name").isin(names))
     return params.select("run_seq", "name", "value")
 
 
@@ -533,7 +536,8 @@ def run_throughput(spark, sf_dir):
 
 @query
 def run_artifacts(spark, sf_dir):
-    return run_table(spark, sf_dir, "run_artifacts").select(
+    artifacts = runs.of_latest_runs(run_table(spark, sf_dir, "run_artifacts"), metric_rows(spark, sf_dir))
+    return artifacts.select(
         "run_seq", "layer", "name", "row_count", "column_count", "columns"
     )
 

@@ -312,7 +312,7 @@ def _run_metric_rows(run_seq: int, raw: str, keyed: str, silver: str) -> str:
     gold = {f"{name}_rows": _gold_count(name, silver) for name in _GOLD_COLUMNS}
     values = {
         "bronze_ingestion_row_count": bronze,
-        "bronze_ingestion_column_count": "12",
+        "bronze_ingestion_column_count": "13",
         "silver_transformation_row_count": kept,
         "silver_transformation_row_count_input": bronze,
         "silver_transformation_row_count_output": kept,
@@ -345,7 +345,7 @@ _REPORT_KEYS = (
 def _artifact_rows(run_seq: int, raw: str, silver: str) -> str:
     records = ",".join(_RECORD_COLUMNS)
     tables = [
-        ("bronze", "claims", f"(select count(*) from {raw})", f"{records},_ingested_at,_record_id,_source_name"),
+        ("bronze", "claims", f"(select count(*) from {raw})", f"{records},_ingested_at,_record_id,_ingested_from,_source_name"),
         (
             "silver", "claims", f"(select count(*) from {silver})",
             ",".join(_SILVER_COLUMNS) + ",_transformed_at,_transformation_version",
@@ -478,8 +478,13 @@ ORACLE: dict[str, str] = {
     "run_params": f"""select run_seq, name, value from (select distinct run_seq from run_metrics),
         (values ('silver_transformation_version', '1.0'), ('final_status', 'SUCCESS'), ('silver_output_columns',
             '{",".join(_SILVER_COLUMNS)},_transformed_at,_transformation_version')) p(name, value)""",
-    "run_failed_phases": """select cast(1 as integer) as run_seq, 'BRONZE_INGESTION' as phase, 'FAILED' as status,
-        count(*) as row_count from raw where _ingested_at < timestamp '2025-01-01 00:00:00' having count(*) = 0""",
+    "run_failed_phases": """with gaps as (
+            select * from raw where policy_id is null or submitted_date is null or status is null),
+        kept as (select count(distinct claim_id) as n from gaps
+            where policy_id is not null and submitted_date is not null)
+        select cast(1 as integer) as run_seq, 'SILVER_TRANSFORMATION' as phase, 'FAILED' as status, n as row_count
+            from kept where n < 0.9 * (select count(*) from gaps)
+        union all select 2, 'BRONZE_INGESTION', 'FAILED', count(*) from gaps where claim_id = policy_id having count(*) = 0""",
     "run_report": "select run_seq, 'SUCCESS' as status, '1.0' as silver_transformation_version, "
     + ", ".join(f"max(value) filter (where metric_key = '{key}') as {key}" for key in _REPORT_KEYS)
     + " from run_metrics group by run_seq",

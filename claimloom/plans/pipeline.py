@@ -54,6 +54,10 @@ def read_claims_csv(spark: SparkSession, path: str, *, multi_line: bool = False)
     return missing_to_null(read_csv(spark, path, as_strings(SCHEMAS["claims"]), multi_line=multi_line))
 
 
+class LowRetention(ValueError):
+    """Silver kept fewer rows than the run allows; its table is written, the gold tables are not."""
+
+
 def run_pipeline(
     spark: SparkSession,
     raw: DataFrame,
@@ -65,10 +69,12 @@ def run_pipeline(
     csv_exports: bool = True,
     quality_report: bool = False,
     params: Mapping[str, object] | None = None,
+    min_retention: float | None = None,
 ) -> RunLog:
     """Run all phases; the first failing phase is logged and stops the run.
 
-    ``raw`` that already carries lineage columns (several loads in one frame) keeps them. Without ``run_ts``
+    ``raw`` keeps the lineage columns that it brings (several loads in one frame). A run whose silver table keeps less than
+    ``min_retention`` percent of the rows that bronze read fails in that phase. Without ``run_ts``
     the rows are stamped with the time at which the run began.
     """
     run_ts = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) if run_ts is None else run_ts
@@ -93,6 +99,8 @@ def run_pipeline(
                 duplicates_removed=keyed_rows - rows,
                 column_count=len(cleaned.columns),
             )
+            if min_retention is not None and metrics["retention_percentage"] < min_retention:
+                raise LowRetention(f"silver kept {rows} of {rows_in} rows, under {min_retention} percent")
         claims = read_table(spark, run_path(lake.silver(), run_seq))
         log.params(
             {
@@ -140,11 +148,7 @@ def run_pipeline(
 
 
 def _write_bronze(raw: DataFrame, path: str, source_name: str) -> dict:
-    keys = required_columns(SCHEMAS["claims"])
-    if "_ingested_at" not in raw.columns:
-        return bronze.ingest(raw, path, source_name=source_name, keys_of=keys)
-    named = raw if "_source_name" in raw.columns else raw.withColumn("_source_name", F.lit(source_name))
-    return bronze.write_gated(named, path, source_name, keys)
+    return bronze.ingest(raw, path, source_name=source_name, keys_of=required_columns(SCHEMAS["claims"]))
 
 
 def _side_by_side(spark: SparkSession, items: Mapping[str, object], write) -> dict[str, int]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import SparkSession
 
@@ -24,6 +25,7 @@ def scratch_root(spark: SparkSession) -> str:
             if not spark.conf.get("spark.master", "local").startswith("local"):
                 raise RuntimeError(f"set {_SETTING} to a folder that all executors can reach")
             shared = tempfile.mkdtemp(prefix="claimloom-")
+            warnings.warn(f"{_SETTING} is not set: intermediate tables go to {shared}, which only this machine can read", stacklevel=2)
         _roots[app] = f"{shared.rstrip('/')}/claimloom-{uuid.uuid4().hex}"
     return _roots[app]
 

@@ -1,14 +1,17 @@
 """Whole runs: tables written, metrics recorded, failures logged."""
 
+import datetime as dt
+
 import pytest
 
-from claimloom.operators import gold, runs
+from claimloom.operators import bronze, gold, runs
 from claimloom.operators.bronze import EmptySource
 from claimloom.plans import recipes
 from claimloom.plans.catalog import RUN_TS
-from claimloom.plans.pipeline import GOLD, SAVE, Lake, read_claims_csv, run_pipeline
+from claimloom.plans.pipeline import GOLD, SAVE, Lake, LowRetention, read_claims_csv, run_pipeline
 from claimloom.schemas import CLAIM_COLUMNS
 from claimloom.sources import readers, writers
+from claimloom.sources.writers import read_as_of_run
 
 
 @pytest.fixture(scope="module")
@@ -120,3 +123,44 @@ def test_run_from_a_csv_file(spark, tmp_path):
     assert (rows["CLM-3"].claim_amount, rows["CLM-3"].status) == (0.0, "unknown")
     high = writers.read_as_of_run(spark, lake.gold("high_value_claims")).collect()
     assert [r.claim_id for r in high] == ["CLM-1"]
+
+
+def test_lineage_that_a_frame_brings_is_kept_column_by_column(spark):
+    df = spark.createDataFrame([("a", "mine", 7)], "claim_id string, _source_name string, _record_id long")
+    (row,) = bronze.add_lineage(df, source_name="theirs", ingested_from="here").collect()
+    assert (row._source_name, row._record_id, row._ingested_from) == ("mine", 7, "here")
+    assert row._ingested_at is not None
+
+
+def metric_table(spark, *values):
+    """Rows of runs: number, rows, whether it failed, and how often the number was run."""
+    rows = []
+    for n, (seq, value, status) in enumerate(values):
+        at = dt.datetime(2025, 1, 1, 0, n)
+        rows += [(f"r{n}", seq, "BRONZE", "row_count", float(value), status, at), (f"r{n}", seq, "RUN", "errors", 0.0, status, at)]
+        rows.append((f"r{n}", seq, "BRONZE", "duration_seconds", 2.0, status, at))
+    return spark.createDataFrame(rows, runs.METRICS_SCHEMA)
+
+
+def test_a_failed_run_is_never_the_run_before(spark):
+    metrics = metric_table(spark, (1, 100, "SUCCESS"), (2, 0, "FAILED"), (3, 101, "SUCCESS"))
+    deltas = runs.run_delta(metrics).where("metric_key = 'bronze_row_count'").orderBy("run_seq").collect()
+    assert [(r.previous_value, r.delta) for r in deltas] == [(None, None), (100.0, -100.0), (100.0, 1.0)]
+
+
+def test_reruns_count_once_in_every_report(spark):
+    metrics = metric_table(spark, (1, 100, "FAILED"), (1, 90, "SUCCESS"), (2, 80, "SUCCESS"))
+    params = spark.createDataFrame([(f"r{k}", s, "final_status", "x") for k, s in enumerate((1, 1, 2))], runs.PARAMS_SCHEMA)
+    assert sorted(r.run_id for r in runs.run_summary(metrics, params).collect()) == ["r1", "r2"]
+    assert sorted(r.run_id for r in runs.throughput(metrics).collect()) == ["r1", "r2"]
+    assert sorted(r.run_id for r in runs.of_latest_runs(params, metrics).collect()) == ["r1", "r2"]
+
+
+def test_a_run_that_keeps_too_few_rows_fails_in_silver(spark, tmp_path, sf_dir):
+    raw = recipes.raw_claims(spark, sf_dir)
+    with pytest.raises(LowRetention):
+        run_pipeline(spark, raw, str(tmp_path), run_ts=RUN_TS, csv_exports=False, min_retention=100.0)
+    (row,) = runs.failed_phases(spark.read.parquet(f"{tmp_path}/runs/run_metrics")).collect()
+    assert row.phase == "SILVER_TRANSFORMATION" and row.row_count > 0
+    with pytest.raises(FileNotFoundError):
+        read_as_of_run(spark, str(tmp_path / "gold" / "monthly_summary"))
