@@ -26,8 +26,9 @@ MAX_BITS = 4
 #: Rows that meet by the value of shared bands if fingerprints are even; beyond it more bands are shared.
 EVEN_ROWS = 1024
 MOST_SHARED = 4
-#: Rows of one band value that are compared in one task; more are cut into chunks and compared chunk by chunk.
+#: Rows of one value that are compared in one task; more meet by further bands, ``LEVELS`` times at most, then chunk by chunk.
 CHUNK = 4096
+LEVELS = 6
 FANOUT = 16
 _BLOCK_ROWS = 1 << 15
 _PAIRS_AT_ONCE = 1 << 11
@@ -186,39 +187,63 @@ def shared_bands(fingerprints: int) -> int:
     return MOST_SHARED
 
 
+def finer_masks(level: int) -> list[int]:
+    """``MAX_BITS + 1`` bands of all bits, dealt in another order at each level; of any, near fingerprints share one."""
+    order = sorted(range(64), key=lambda bit: (bit * (2 * level + 19) + 7 * level) % 64)
+    cuts = [64 * i // (MAX_BITS + 1) for i in range(MAX_BITS + 2)]
+    return [sum(1 << bit for bit in order[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+def _meeting(key: list[Column], masks: list[int]) -> Column:
+    """A key per mask: what is in ``key``, the mask's number, and the bits under it."""
+    bits = [F.col("fp").bitwiseAND(F.lit(mask - (mask >> 63 << 64))) for mask in masks]
+    return F.explode(F.array(*[F.xxhash64(*key, F.lit(i), b) for i, b in enumerate(bits)])).alias("key")
+
+
+def _forest_of(rows: DataFrame) -> DataFrame:
+    keyed = rows.select("fp", "key", gray_rank(F.col("fp")).alias("gray"))
+    return keyed.repartition("key").sortWithinPartitions("key", "gray").mapInArrow(_forests, "a long, b long")
+
+
+def _chunked(rows: DataFrame, hot: DataFrame) -> DataFrame:
+    """Rows of keys that no bits tell apart any more, in chunks of ``CHUNK`` of which every two meet under a key of their own."""
+    chunks = F.ceil(F.col("n") / F.lit(CHUNK)).cast("int").alias("chunks")
+    own = F.pmod(F.xxhash64("fp", F.lit(1)), F.col("chunks")).cast("int")
+    dealt = rows.join(broadcast_if_small(hot.select("key", chunks)), "key").withColumn("own", own)
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    return dealt.select("fp", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"))
+
+
 def links(distinct: DataFrame, shared: int | None = None) -> DataFrame:
-    """Links ``a``, ``b`` between distinct fingerprints ``fp``: a spanning forest per band value (or tile).
+    """Links ``a``, ``b`` between distinct fingerprints ``fp``: a spanning forest per key.
 
-    A band value with more than ``CHUNK`` rows is cut into chunks by hash and every two chunks meet in a tile of
-    their own, so no task holds more than two chunks at once, and no pair is left out.
+    Rows meet by the value of shared bands. Of a value with more than ``CHUNK`` rows, all are first held against one; if
+    that does not link them all, they meet by further bands in another order, and so on, so that a frequent value falls
+    apart in a few rows per fingerprint. No task holds more than a chunk, or two, at once, and no pair is left out.
     """
-    masks = band_masks(shared or shared_bands(distinct.count()))
-    bands = [
-        F.struct(
-            F.lit(i).alias("band"),
-            F.col("fp").bitwiseAND(F.lit(mask - (mask >> 63 << 64))).alias("value"),
-        )
-        for i, mask in enumerate(masks)
-    ]
-    rows = distinct.select("fp", F.explode(F.array(*bands)).alias("at")).select("fp", "at.band", "at.value")
-    hot = staged(
-        rows.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CHUNK), "simhash-hot"
-    )
-    chunks = F.coalesce(F.ceil(F.col("n") / F.lit(CHUNK)), F.lit(1)).cast("int")
-    own = F.pmod(F.xxhash64("fp", F.lit(1)), F.col("chunks")).cast("int")
-    tile = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
-    tiles = (
-        rows.join(broadcast_if_small(hot), ["band", "value"], "left")
-        .withColumn("chunks", chunks)
-        .withColumn("own", own)
-        .withColumn("other", tile)
-        .select(
-            "fp",
-            F.xxhash64("band", "value", F.least("own", "other"), F.greatest("own", "other")).alias("key"),
-            gray_rank(F.col("fp")).alias("gray"),
-        )
-    )
-    return tiles.repartition("key").sortWithinPartitions("key", "gray").mapInArrow(_forests, "a long, b long")
+    rows = distinct.select("fp", _meeting([], band_masks(shared or shared_bands(distinct.count()))))
+    found: list[DataFrame] = []
+    for level in range(1, LEVELS + 1):
+        counted = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min_by("fp", F.xxhash64("fp")).alias("centre"))
+        hot = staged(counted.where(F.col("n") > CHUNK), "simhash-hot")
+        if hot.isEmpty():
+            found.append(_forest_of(rows))
+            break
+        found.append(_forest_of(rows.join(broadcast_if_small(hot.select("key")), "key", "left_anti")))
+        linked = F.bit_count(F.col("fp").bitwiseXOR(F.col("centre"))) <= MAX_BITS
+        met = staged(rows.join(broadcast_if_small(hot), "key").withColumn("linked", linked), "simhash-met")
+        found.append(met.where("linked and fp <> centre").select(F.col("fp").alias("a"), F.col("centre").alias("b")))
+        apart = met.groupBy("key").agg(F.min("linked").alias("whole"), F.count(F.lit(1)).alias("n"))
+        apart = staged(apart.where("not whole").select("key", "n"), "simhash-apart")
+        left = met.join(broadcast_if_small(apart.select("key")), "key", "left_semi").select("fp", "key")
+        if level == LEVELS:
+            found.append(_forest_of(_chunked(left, apart)))
+        else:
+            rows = staged(left.select("fp", _meeting([F.col("key")], finer_masks(level))), "simhash-finer")
+    whole = found[0]
+    for more in found[1:]:
+        whole = whole.unionByName(more)
+    return whole
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -247,3 +247,42 @@ def test_the_mixing_stage_writes_stretches_of_the_schedule(spark, sf_dir, tmp_pa
             ends.append((at[0], at[-1]))
     assert not any(slots.values())
     assert all(a[1] <= b[0] for a, b in zip(ends, ends[1:]))
+
+
+def test_crowded_band_values_fall_apart_without_losing_a_link(spark, monkeypatch):
+    random = np.random.default_rng(4)
+    centre = int(random.integers(0, 1 << 63))
+    prints = {centre ^ sum(1 << int(b) for b in random.choice(40, int(random.integers(0, 9)), replace=False)) for _ in range(260)}
+    prints |= {(centre & ~0x1FFF) ^ int(x) << 13 ^ (centre & 0x1FFF) for x in random.integers(0, 1 << 50, 90)}
+    prints |= {int(x) for x in random.integers(0, 1 << 63, 50)}
+    prints = sorted(prints)
+    root = {p: p for p in prints}
+
+    def top(p):
+        while root[p] != p:
+            p = root[p]
+        return p
+
+    for i, a in enumerate(prints):
+        for b in prints[:i]:
+            if (a ^ b).bit_count() <= simhash.MAX_BITS:
+                root[top(a)] = top(b)
+    want = {}
+    for p in prints:
+        want.setdefault(top(p), set()).add(p)
+    frame = spark.createDataFrame([(p,) for p in prints], "fp long").coalesce(2)
+    for chunk, levels in ((4096, 6), (40, 6), (12, 2)):
+        monkeypatch.setattr(simhash, "CHUNK", chunk)
+        monkeypatch.setattr(simhash, "LEVELS", levels)
+        found = simhash.links(frame)
+        got = {}
+        for r in simhash.components(found).collect():
+            got.setdefault(r.label, set()).add(r.node)
+        assert sorted(map(sorted, got.values())) == sorted(sorted(x) for x in want.values() if len(x) > 1)
+
+
+def test_masks_of_every_level_deal_out_all_bits():
+    for level in range(1, simhash.LEVELS + 1):
+        masks = simhash.finer_masks(level)
+        assert len(masks) == simhash.MAX_BITS + 1 and sum(masks) == (1 << 64) - 1
+        assert all(a & b == 0 for i, a in enumerate(masks) for b in masks[:i])
