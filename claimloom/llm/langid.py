@@ -25,8 +25,8 @@ SCRIPT_SHARE = 0.01
 #: What a word costs in a language whose texts do not use the word's script.
 OTHER_SCRIPT = 30.0
 UNDETERMINED = "und"
-#: A document is kept for its language if that is at least so sure: no language of three could be more in doubt.
-MIN_SCORE = 0.35
+#: A document has a language if that holds at least this share of its letters.
+MIN_SHARE = 0.35
 _GROUP_CHARS = 2_000_000
 _SEGMENT_CHARS = 1 << 19
 
@@ -303,12 +303,12 @@ def keep_identified(
     text: str = "text",
     lang: str = "lang",
     languages: Sequence[str] | None = None,
-    min_score: float = MIN_SCORE,
+    min_share: float = MIN_SHARE,
 ) -> DataFrame:
     """The documents whose language can be told, or is one of ``languages``; columns stay as they are.
 
-    Rejected are texts without a letter (null, empty, digits and signs alone), and texts whose predicted language scores
-    under ``min_score``: no language holds enough of their letters, or none is enough more likely than the next.
+    Rejected are texts without a letter (null, empty, digits and signs alone), and texts whose spans in the predicted
+    language hold less than ``min_share`` of what all spans do: a jumble of languages. Text in two languages is kept.
     Where no text has a language to learn from, texts with a letter stay: nothing speaks against them. Repeated
     rows are judged each; an empty table gives no rows.
     """
@@ -317,7 +317,11 @@ def keep_identified(
         return with_letters(docs, text=text)
     clear = {c: f"own_{i}" for i, c in enumerate(docs.columns)}
     labelled = identify(docs.withColumnsRenamed(clear), model, text=clear[text], keep=tuple(clear.values()))
-    kept = labelled.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score))
+    spans = F.arrays_zip("span_langs", "span_starts", "span_ends")
+    whole = F.aggregate(spans, F.lit(0), lambda n, s: n + s["span_ends"] - s["span_starts"])
+    in_own = F.filter(spans, lambda s: s["span_langs"] == F.col("lang_pred"))
+    own = F.aggregate(in_own, F.lit(0), lambda n, s: n + s["span_ends"] - s["span_starts"])
+    kept = labelled.where((F.col("lang_pred") != UNDETERMINED) & (own >= F.lit(min_share) * whole))
     if languages is not None:
         kept = kept.where(F.col("lang_pred").isin(list(languages)))
     return kept.select(*[F.col(own).alias(c) for c, own in clear.items()])

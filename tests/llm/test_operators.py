@@ -364,8 +364,11 @@ def test_pipeline_against_brute_force(spark, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         frames.append(stage(spark, frames[-1], sf_dir))
     start = frames[0].collect()
-    scores = {r.doc_id: r.score for r in langid.learn_and_identify(frames[0]).collect()}
-    lettered = [r for r in start if any(c.isalpha() for c in r.text or "") and scores[r.doc_id] >= langid.MIN_SCORE]
+    shares = {}
+    for r in langid.learn_and_identify(frames[0]).collect():
+        sizes = [(one, end - start) for one, start, end in zip(r.span_langs, r.span_starts, r.span_ends)]
+        shares[r.doc_id] = sum(n for one, n in sizes if one == r.lang_pred) / max(1, sum(n for _, n in sizes))
+    lettered = [r for r in start if any(c.isalpha() for c in r.text or "") and shares[r.doc_id] >= langid.MIN_SHARE]
     best = {}
     for r in lettered:
         key = lowered(r.text)
