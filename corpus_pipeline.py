@@ -17,7 +17,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents whose language cannot be told: those without a letter, or with too low a score for any language."""
+    """Drop documents whose language cannot be told: those without a letter, or in no language for the most part."""
     return langid.keep_identified(docs)
 
 
