@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimloom.functions import vocabulary as V
+from claimloom.operators import sketches
 from claimloom.schemas import SCHEMAS, required_columns
 
 _ROW_COUNT, _NULLS, _DUPLICATES, _VALUES, _SIZE = (
@@ -18,6 +19,10 @@ _ROW_COUNT, _NULLS, _DUPLICATES, _VALUES, _SIZE = (
 )
 
 
+#: A list of allowed values is broadcast up to this many.
+BROADCAST_VALUES = 200_000
+
+
 def _status(ok: Column) -> Column:
     return F.when(ok, F.lit("PASS")).otherwise(F.lit("FAIL"))
 
@@ -102,26 +107,52 @@ def _key_metrics(key: str, n: Column, unique: Column) -> list[Column]:
     ]
 
 
-def duplicate_keys(df: DataFrame, key: str = "claim_id") -> DataFrame:
-    """Rows beyond one per key; rows without a key count as duplicates too."""
+def duplicate_keys(df: DataFrame, key: str = "claim_id", *, approximate: bool = False) -> DataFrame:
+    """Rows beyond one per key; rows without a key count as duplicates too.
+
+    ``approximate`` counts the keys by a sketch of fixed size (``sketches.ERROR`` tells how well), so that no key is shuffled.
+    """
     if key not in df.columns:
         return _skipped(df, _DUPLICATES, key, "column not found")
-    counts = df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(key).alias("k"))
+    keys = F.count_distinct(key)
+    if approximate:
+        keys = F.least(sketches.estimate(sketches.sketch(key)), F.count(key))
+    counts = df.agg(F.count(F.lit(1)).alias("n"), keys.alias("k"))
     return _report(counts, _key_metrics(key, F.col("n"), F.col("k")))
 
 
-def value_table(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFrame:
-    """Each value found, its rows, and whether it is allowed; as many rows as there are values."""
-    return (
-        df.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).cast("string").alias("value"))
-        .agg(F.count(F.lit(1)).alias("row_count"))
-        .withColumn("allowed", F.col("value").isin([str(v) for v in allowed]))
-    )
+def _found_values(df: DataFrame, column: str) -> DataFrame:
+    present = df.where(F.col(column).isNotNull())
+    return present.groupBy(F.col(column).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def _listed(allowed: DataFrame) -> DataFrame:
+    """The values of a list's first column. Up to ``BROADCAST_VALUES`` of them are broadcast; longer lists are shuffled."""
+    values = allowed.select(F.col(allowed.columns[0]).cast("string").alias("value")).where(F.col("value").isNotNull())
+    values = values.distinct()
+    return F.broadcast(values) if values.limit(BROADCAST_VALUES + 1).count() <= BROADCAST_VALUES else values
+
+
+def value_table(df: DataFrame, column: str, allowed: Sequence[str] | DataFrame) -> DataFrame:
+    """Each value found, its rows, and whether it is allowed; as many rows as there are values.
+
+    ``allowed`` is a short list, or a table with the values in its first column, of any length. Values found are counted
+    before they meet the table.
+    """
+    found = _found_values(df, column)
+    if not isinstance(allowed, DataFrame):
+        return found.withColumn("allowed", F.col("value").isin([str(v) for v in allowed]))
+    marked = found.join(_listed(allowed).withColumn("allowed", F.lit(True)), "value", "left")
+    return marked.withColumn("allowed", F.coalesce("allowed", F.lit(False)))
+
+
+def outside_values(df: DataFrame, column: str, allowed: DataFrame) -> DataFrame:
+    """The values found that a table of allowed ones does not hold, with their rows: an anti join."""
+    return _found_values(df, column).join(_listed(allowed), "value", "left_anti")
 
 
-def allowed_values(df: DataFrame, column: str, allowed: Sequence[str] | None = None) -> DataFrame:
-    """How many values and rows lie outside the allowed set; ``value_table`` lists them."""
+def allowed_values(df: DataFrame, column: str, allowed: Sequence[str] | DataFrame | None = None) -> DataFrame:
+    """How many values and rows lie outside the allowed set, a list or a table; ``value_table`` lists them."""
     if column not in df.columns:
         return _skipped(df, _VALUES, column, "column not found")
     if allowed is None:

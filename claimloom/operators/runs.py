@@ -211,3 +211,42 @@ def run_summary(metrics: DataFrame, params: DataFrame) -> DataFrame:
     )
     status = params.where(F.col("name") == "final_status").select("run_id", F.col("value").alias("final_status"))
     return per_run.join(status, "run_id", "left")
+
+
+def _median(values: Column) -> Column:
+    ordered, n = F.array_sort(values), F.size(values)
+    low, high = F.floor((n - 1) / 2).cast("int"), F.floor(n / 2).cast("int")
+    return (F.get(ordered, low) + F.get(ordered, high)) / 2
+
+
+def run_alerts(
+    metrics: DataFrame, directions: Mapping[str, int], *, runs: int = 30, least_runs: int = 4, width: float = 4.0
+) -> DataFrame:
+    """Metrics beside the band of the successful runs before, with ``alert`` where they are worse.
+
+    ``directions`` says per metric key which way is worse: 1 up, -1 down, 0 both. The band is the median of up to ``runs``
+    earlier values and ``width`` times their median distance from it (scaled to a standard deviation); a spread of
+    zero makes any change on the worse side an alert. Failed runs are never in the band, and there is no alert before
+    ``least_runs`` runs. Reruns count once; a metric's history is one row a run.
+    """
+    failed = F.max((F.col("phase") == RUN) & (F.col("status") == "FAILED")).over(Window.partitionBy("run_id"))
+    worse = F.element_at(F.create_map(*[F.lit(x) for pair in directions.items() for x in pair]), F.col("metric_key"))
+    watched = (
+        latest_runs(metrics)
+        .withColumns({"__failed": failed, "metric_key": _key()})
+        .where(F.col("metric_key").isin(list(directions)))
+    )
+    good = F.when(~F.col("__failed"), F.col("value"))
+    earlier = Window.partitionBy("metric_key").orderBy("run_seq").rowsBetween(Window.unboundedPreceding, -1)
+    history = F.collect_list(good).over(earlier)  # nulls, the failed runs, are not collected
+    recent = F.slice(history, F.greatest(F.size(history) - (runs - 1), F.lit(1)), F.lit(runs))
+    offset = F.col("value") - F.col("median")
+    away = F.when(F.col("worse") == 0, F.abs(offset)).otherwise(offset * F.col("worse"))
+    return (
+        watched.select("run_seq", "metric_key", "value", worse.alias("worse"), recent.alias("recent"))
+        .withColumn("earlier_runs", F.size("recent"))
+        .withColumn("median", F.when(F.col("earlier_runs") > 0, _median(F.col("recent"))))
+        .withColumn("spread", _median(F.transform("recent", lambda x: F.abs(x - F.col("median")))) * 1.4826)
+        .withColumn("alert", (F.col("earlier_runs") >= least_runs) & F.coalesce(away > width * F.col("spread"), F.lit(False)))
+        .drop("recent", "worse")
+    )

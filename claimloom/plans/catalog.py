@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from claimloom.functions import rules
 from claimloom.functions import vocabulary as V
-from claimloom.operators import bronze, counts, gold, profile, quality, runs, silver
+from claimloom.operators import bronze, counts, gold, profile, quality, runs, silver, sketches
 from claimloom.plans import recipes
 from claimloom.plans.pipeline import Lake, LowRetention, run_pipeline
 from claimloom.schemas import CLAIM_COLUMNS, SCHEMAS, as_strings
@@ -407,6 +407,44 @@ def dq_allowed_values(spark, sf_dir):
     return quality.allowed_values(raw_records(spark, sf_dir), "status", V.STATUSES)
 
 
+@query
+def dq_allowed_table(spark, sf_dir):
+    """Policies of the claims against a table of allowed ones: those of customers with an income."""
+    return quality.allowed_values(raw_records(spark, sf_dir), "policy_id", insured_policies(spark, sf_dir))
+
+
+@query
+def dq_outside_values(spark, sf_dir):
+    return quality.outside_values(raw_records(spark, sf_dir), "policy_id", insured_policies(spark, sf_dir))
+
+
+def insured_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recipes.raw_customers(spark, sf_dir).where("customer_income > 0").select("policy_id")
+
+
+@written_once
+def load_sketches(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Sketches of both loads' keys."""
+    for run_seq, loaded in ((1, recipes.FIRST_LOAD), (2, recipes.SECOND_LOAD)):
+        load = raw(spark, sf_dir).where(F.col("_ingested_at") == F.lit(loaded).cast("timestamp_ntz"))
+        sketches.record(load, SKETCHED, path, run_seq)
+
+
+SKETCHED = ("claim_id", "policy_id", "claim_amount")
+
+
+@query
+def dq_distinct_over_runs(spark, sf_dir):
+    """Different keys of all loads from their stored sketches, held against counting them."""
+    estimated = sketches.distinct_over_runs(spark, load_sketches(spark, sf_dir))
+    rows = raw_records(spark, sf_dir)
+    counted = rows.agg(*[F.count_distinct(c).alias(c) for c in SKETCHED])
+    exact = counted.unpivot([], list(SKETCHED), "column_name", "exact_values")
+    off = F.abs(F.col("distinct_values") - F.col("exact_values"))
+    within = (off <= F.ceil(sketches.ERROR * F.col("exact_values"))).alias("within_error")
+    return estimated.join(exact, "column_name").select("column_name", "row_count", "exact_values", within)
+
+
 @query
 def dq_value_table(spark, sf_dir):
     return quality.value_table(raw_records(spark, sf_dir), "status", V.STATUSES)
@@ -527,6 +565,29 @@ def run_delta(spark, sf_dir):
     return runs.run_delta(metric_rows(spark, sf_dir))
 
 
+@query
+def run_alerts(spark, sf_dir):
+    """A run per month of submission, recorded from the clean claims: rows and mean amount against earlier months."""
+    months = claims(spark, sf_dir).where("submitted_year is not null").groupBy("submitted_year", "submitted_month")
+    counted = months.agg(
+        F.count(F.lit(1)).cast("double").alias("row_count"),
+        F.max("claim_amount").alias("highest"),
+        F.count_if(F.col("status") == "unknown").alias("unknown"),
+    )
+    seq = F.col("submitted_year") * 12 + F.col("submitted_month")
+    # A month fails, as a run would, if one status in sixteen or more is unknown.
+    status = F.when(F.col("unknown") * 16 >= F.col("row_count"), "FAILED").otherwise("SUCCESS")
+    at = F.make_date("submitted_year", "submitted_month", F.lit(1)).cast("timestamp_ntz")
+    runs_of_months = counted.select(seq.cast("string").alias("run_id"), seq.alias("run_seq"), status.alias("status"), at.alias("recorded_at"), "row_count", "highest")
+    metric = F.inline(F.array(*[
+        F.struct(F.lit(phase).alias("phase"), F.lit(name).alias("metric"), value.alias("value"))
+        for phase, name, value in (("SILVER", "row_count", F.col("row_count")), ("SILVER", "highest", F.col("highest")), ("RUN", "errors", F.lit(0.0)))
+    ]))
+    rows = runs_of_months.select("run_id", "run_seq", "status", "recorded_at", metric)
+    found = runs.run_alerts(rows, {"silver_row_count": -1, "silver_highest": 0}, runs=12, width=3.0)
+    return found.withColumns({c: F.bround(c, 6) for c in ("median", "spread")})
+
+
 @query
 def run_throughput(spark, sf_dir):
     rates = runs.throughput(run_table(spark, sf_dir, "run_metrics"))

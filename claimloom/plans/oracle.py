@@ -360,6 +360,9 @@ def _artifact_rows(run_seq: int, raw: str, silver: str) -> str:
     )
 
 
+_INSURED = "select policy_id from customers where customer_income > 0 and policy_id is not null"
+
+
 def _share(column: str) -> str:
     return f"""select {column}, count(*) as row_count,
         round_even(count(*) / (select count(*) from silver) * 100, 1) as percent
@@ -452,6 +455,21 @@ ORACLE: dict[str, str] = {
         ),
         ("invalid_count", f"count(*) filter (where status not in ({_ALLOWED}))", "null", "'INFO'"),
     ),
+    "dq_allowed_table": _metric_rows(
+        "value_distribution", "policy_id", "records",
+        ("actual_values", "count(distinct policy_id)", "null", "'INFO'"),
+        (
+            "invalid_values", f"count(distinct policy_id) filter (where policy_id not in ({_INSURED}))", "0",
+            f"if(count(*) filter (where policy_id not in ({_INSURED})) = 0, 'PASS', 'FAIL')",
+        ),
+        ("invalid_count", f"count(*) filter (where policy_id not in ({_INSURED}))", "null", "'INFO'"),
+    ),
+    "dq_outside_values": f"""select policy_id as value, count(*) as row_count from records
+        where policy_id not in ({_INSURED}) group by policy_id""",
+    "dq_distinct_over_runs": " union all ".join(
+        f"select '{c}' as column_name, count(*) as row_count, count(distinct {c}) as exact_values, true as within_error from records"
+        for c in ("claim_id", "policy_id", "claim_amount")
+    ),
     "dq_value_table": f"""select status as value, count(*) as row_count, status in ({_ALLOWED}) as allowed
         from records where status is not null group by status""",
     "dq_row_duplicates": """select (select count(*) from records) as total_rows,
@@ -478,13 +496,13 @@ ORACLE: dict[str, str] = {
     "run_params": f"""select run_seq, name, value from (select distinct run_seq from run_metrics),
         (values ('silver_transformation_version', '1.0'), ('final_status', 'SUCCESS'), ('silver_output_columns',
             '{",".join(_SILVER_COLUMNS)},_transformed_at,_transformation_version')) p(name, value)""",
-    "run_failed_phases": """with gaps as (
+    "run_failed_phases": """select * from (with gaps as (
             select * from raw where policy_id is null or submitted_date is null or status is null),
         kept as (select count(distinct claim_id) as n from gaps
             where policy_id is not null and submitted_date is not null)
         select cast(1 as integer) as run_seq, 'SILVER_TRANSFORMATION' as phase, 'FAILED' as status, n as row_count
             from kept where n < 0.9 * (select count(*) from gaps)
-        union all select 2, 'BRONZE_INGESTION', 'FAILED', count(*) from gaps where claim_id = policy_id having count(*) = 0""",
+        union all select 2, 'BRONZE_INGESTION', 'FAILED', count(*) from gaps where claim_id = policy_id having count(*) = 0)""",
     "run_report": "select run_seq, 'SUCCESS' as status, '1.0' as silver_transformation_version, "
     + ", ".join(f"max(value) filter (where metric_key = '{key}') as {key}" for key in _REPORT_KEYS)
     + " from run_metrics group by run_seq",
@@ -492,6 +510,24 @@ ORACLE: dict[str, str] = {
             coalesce(value <> previous_value, false) as changed
         from (select *, lag(value) over (partition by metric_key order by run_seq) as previous_value
             from run_metrics)""",
+    "run_alerts": """select * from (with months as (
+            select submitted_year * 12 + submitted_month as run_seq, cast(count(*) as double) as row_count,
+                max(claim_amount) as highest, count(*) filter (where status = 'unknown') * 16 >= count(*) as failed
+            from silver where submitted_year is not null group by 1),
+        metrics as (
+            select run_seq, failed, 'silver_row_count' as metric_key, row_count as value, -1 as worse from months
+            union all select run_seq, failed, 'silver_highest', highest, 0 from months),
+        histories as (
+            select *, coalesce(list(value) filter (where not failed) over (partition by metric_key order by run_seq
+                rows between unbounded preceding and 1 preceding), []) as history from metrics),
+        recents as (select *, history[greatest(len(history) - 11, 1):] as recent from histories),
+        medians as (select *, cast(len(recent) as integer) as earlier_runs, list_median(recent) as median from recents),
+        spreads as (
+            select *, list_median(list_transform(recent, lambda x: abs(x - median))) * 1.4826 as spread from medians)
+        select run_seq, metric_key, value, earlier_runs, round_even(median, 6) as median, round_even(spread, 6) as spread,
+            earlier_runs >= 4 and coalesce(
+                if(worse = 0, abs(value - median), (value - median) * worse) > 3 * spread, false) as alert
+        from spreads)""",
     "run_throughput": """select cast(1 as integer) as run_seq, 'BRONZE_INGESTION' as phase, count(*) as row_count,
             true as measured from first_load
         union all select 1, 'SILVER_TRANSFORMATION', count(*), true from first_silver

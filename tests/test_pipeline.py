@@ -164,3 +164,14 @@ def test_a_run_that_keeps_too_few_rows_fails_in_silver(spark, tmp_path, sf_dir):
     assert row.phase == "SILVER_TRANSFORMATION" and row.row_count > 0
     with pytest.raises(FileNotFoundError):
         read_as_of_run(spark, str(tmp_path / "gold" / "monthly_summary"))
+
+
+def test_alerts_against_earlier_good_runs(spark):
+    values = [(k, v, "SUCCESS") for k, v in enumerate([100, 102, 98, 101, 99], 1)]
+    metrics = metric_table(spark, *values, (6, 5, "FAILED"), (7, 100, "SUCCESS"), (8, 60, "SUCCESS"), (9, 140, "SUCCESS"), (9, 103, "SUCCESS"))
+    rows = {r.run_seq: r for r in runs.run_alerts(metrics, {"bronze_row_count": -1}).collect()}
+    assert {k for k, r in rows.items() if r.alert} == {6, 8}
+    assert (rows[7].earlier_runs, rows[7].median, rows[1].median, rows[9].earlier_runs) == (5, 100.0, None, 7)
+    up = {r.run_seq for r in runs.run_alerts(metrics, {"bronze_row_count": 1}).collect() if r.alert}
+    both = {r.run_seq for r in runs.run_alerts(metrics, {"bronze_row_count": 0}, runs=3, least_runs=2).collect() if r.alert}
+    assert up == set() and {6, 8} <= both
