@@ -39,7 +39,7 @@ STAR_ROUNDS = 2
 TILE_TEXTS = 256
 TILE_SHINGLES = 1 << 21
 SEED = 42
-_GROUP_CHARS = 2_000_000
+_GROUP_CHARS = 500_000
 _SHINGLES_AT_ONCE = 1 << 11
 
 
