@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimloom.llm import simhash
-from claimloom.llm.common import broadcast_if_small, fresh, staged, text_groups
+from claimloom.llm.common import broadcast_if_small, fresh, lean, staged, text_groups
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -123,7 +123,7 @@ def _read(docs: DataFrame, text: str, keep: tuple[str, ...], name: str, wanted:
                 columns.append(lists([s.view(np.int64) for s in sets]))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return source.mapInArrow(hashed, schema)
+    return source.mapInArrow(lean(hashed), schema)
 
 
 def similar_sizes(one: str, other: str) -> F.Column:
@@ -272,7 +272,7 @@ def prefix_pairs(texts: DataFrame, sets: DataFrame) -> DataFrame:
     )
     met = tiles.repartition("tile").sortWithinPartitions("tile", "fp")
     met = met.select("tile", "fp", "label", F.col("n").cast("long"), F.col("place").cast("long"))
-    return met.mapInArrow(_meetings, "a long, b long").distinct()
+    return met.mapInArrow(lean(_meetings), "a long, b long").distinct()
 
 
 def links(slim: DataFrame, distinct: DataFrame) -> DataFrame:
@@ -318,7 +318,7 @@ def links(slim: DataFrame, distinct: DataFrame) -> DataFrame:
     rows = staged(rows.join(broadcast_if_small(mixed), "key"), "jaccard-left-rows")
     tiles = rows.where("not large").select(F.col("key").alias("tile"), "fp", "label").join(sets, "fp")
     tiles = tiles.select("tile", "fp", "label", "set").repartition("tile").sortWithinPartitions("tile", "fp")
-    found.append(staged(tiles.mapInArrow(_forests, "a long, b long"), "jaccard-tiles"))
+    found.append(staged(tiles.mapInArrow(lean(_forests), "a long, b long"), "jaccard-tiles"))
     texts = staged(rows.where("large").select("fp", "label").distinct(), "jaccard-large")
     if not texts.isEmpty():
         found.append(compared(prefix_pairs(texts, sets), sets))

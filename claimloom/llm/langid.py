@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimloom.llm.common import fresh, id_crc32, text_groups
+from claimloom.llm.common import fresh, lean, id_crc32, text_groups
 
 CELLS = 1 << 15
 SWITCH_PENALTY = 12.0
@@ -140,7 +140,7 @@ def train(docs: DataFrame, *, text: str = "text", lang: str = "lang") -> Model:
                 names=["lang", "cell", "n"],
             )
 
-    counted = source.mapInArrow(count, "lang string, cell int, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
+    counted = source.mapInArrow(lean(count), "lang string, cell int, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
     rows = counted.toArrow()
     names = rows.column("lang").to_numpy(zero_copy_only=False)
     langs = tuple(sorted(set(names)))
@@ -266,7 +266,7 @@ def identify(
                 names=schema.names,
             )
 
-    return source.mapInArrow(label, schema)
+    return source.mapInArrow(lean(label), schema)
 
 
 def held_out(doc_id: str = "doc_id", *, folds: int = 5, fold: int = 0) -> Column:
@@ -293,7 +293,7 @@ def with_letters(docs: DataFrame, *, text: str = "text") -> DataFrame:
         for part, texts in text_groups(batches, text, _GROUP_CHARS):
             yield part.filter(pa.array([next(letters.words(one), None) is not None for one in texts], pa.bool_()))
 
-    return docs.mapInArrow(chosen, docs.schema)
+    return docs.mapInArrow(lean(chosen), docs.schema)
 
 
 def keep_identified(

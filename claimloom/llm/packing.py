@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimloom.llm.common import fresh, text_groups
+from claimloom.llm.common import fresh, lean, text_groups
 from claimloom.sources.scratch import scratch_path
 
 MAX_LENGTH = 1024
@@ -123,7 +123,7 @@ def pack(
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, "start", "length", "ids", "doc_tokens"])
 
     return (
-        source.mapInArrow(pieces, schema)
+        source.mapInArrow(lean(pieces), schema)
         .withColumn("sequence_id", F.monotonically_increasing_id())
         .withColumn("offset", F.lit(0).cast("long"))
     )

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import broadcast_if_small, fresh, staged, text_groups
+from claimloom.llm.common import broadcast_if_small, fresh, lean, staged, text_groups
 
 SHINGLE = 4
 SEED = 42
@@ -73,7 +73,7 @@ def fingerprints(
                 [*part.columns[: len(keep)], pa.array(prints, pa.int64())], names=[*keep, name]
             )
 
-    return source.mapInArrow(hashed, schema)
+    return source.mapInArrow(lean(hashed), schema)
 
 
 def gray_rank(fp: Column) -> Column:
@@ -202,7 +202,7 @@ def _meeting(key: list[Column], masks: list[int]) -> Column:
 
 def _forest_of(rows: DataFrame) -> DataFrame:
     keyed = rows.select("fp", "key", gray_rank(F.col("fp")).alias("gray"))
-    return keyed.repartition("key").sortWithinPartitions("key", "gray").mapInArrow(_forests, "a long, b long")
+    return keyed.repartition("key").sortWithinPartitions("key", "gray").mapInArrow(lean(_forests), "a long, b long")
 
 
 def _chunked(rows: DataFrame, hot: DataFrame) -> DataFrame:
