@@ -560,6 +560,22 @@ def run_failed_phases(spark, sf_dir):
     return runs.failed_phases(metrics).drop("run_id")
 
 
+@written_once
+def audited_metrics(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The run metrics with a quality report appended under each of two run numbers: the raw claims' and the clean ones'."""
+    reports = [(1, "bronze", quality.all_checks(raw_records(spark, sf_dir))), (2, "silver", dq_report(spark, sf_dir))]
+    for run_seq, layer, report in reports:
+        rows = runs.quality_metrics(report, layer, f"audit-{run_seq}", run_seq)
+        writers.write_table(rows.coalesce(1), path, mode="append")
+
+
+@query
+def run_quality(spark, sf_dir):
+    """What the quality reports left in the metrics table."""
+    stored = readers.read_table(spark, audited_metrics(spark, sf_dir))
+    return stored.select("run_seq", "phase", "metric", "value", "status")
+
+
 @query
 def run_delta(spark, sf_dir):
     return runs.run_delta(metric_rows(spark, sf_dir))

@@ -214,6 +214,11 @@ _SIZE_ROWS = _metric_rows(
     ("total_rows", "count(*)", "null", "'INFO'"),
     ("total_columns", f"max({len(_SILVER_COLUMNS)})", "null", "'INFO'"),
 )
+_RECORD_SIZE_ROWS = _metric_rows(
+    "table", "table", "records",
+    ("total_rows", "count(*)", "null", "'INFO'"),
+    ("total_columns", f"max({len(_RECORD_COLUMNS)})", "null", "'INFO'"),
+)
 _ALLOWED = ", ".join(f"'{s}'" for s in V.STATUSES)
 
 _FRAUD = """
@@ -506,6 +511,16 @@ ORACLE: dict[str, str] = {
     "run_report": "select run_seq, 'SUCCESS' as status, '1.0' as silver_transformation_version, "
     + ", ".join(f"max(value) filter (where metric_key = '{key}') as {key}" for key in _REPORT_KEYS)
     + " from run_metrics group by run_seq",
+    "run_quality": " union all ".join(
+        f"""select cast({seq} as integer) as run_seq, 'QUALITY_{layer}' as phase, subject || '_' || metric as metric,
+            cast(value as double) as value, status from ({rows}) where value is not null"""
+        for seq, layer, rows in (
+            (1, "BRONZE", f"{_RECORD_SIZE_ROWS} union all {_null_rows('records', _RECORD_COLUMNS)} "
+                f"union all {_duplicate_rows('records')}"),
+            (2, "SILVER", f"{_SIZE_ROWS} union all {_null_rows('silver', _SILVER_COLUMNS)} "
+                f"union all {_duplicate_rows('silver')} union all {_RETENTION_ROWS}"),
+        )
+    ),
     "run_delta": """select run_seq, metric_key, value, previous_value, value - previous_value as delta,
             coalesce(value <> previous_value, false) as changed
         from (select *, lag(value) over (partition by metric_key order by run_seq) as previous_value
