@@ -9,9 +9,10 @@ Candidates come in turn from
    in all its keys, which then leaves the key; after a few such rounds small keys meet in tiles;
 3. for keys too large for a tile, an exact join: shingles in order of their number, rarest first, and texts meet only by the
    first ones, whose number follows from the threshold, within limits of length and place. A passage that many share
-   comes last in that order, so a large key falls apart.
+   comes last in that order, so a large key falls apart. They are compared where they meet, and links alone come out.
 
-Rows in all steps grow with texts and keys, not with pairs in a group.
+Rows in all steps grow with texts and keys, not with pairs in a group; a first shingle that m texts share is met in chunks, each
+text going to the square root of m / ``TILE_TEXTS`` of them, more only if its chunks would hold too many shingles.
 """
 
 from __future__ import annotations
@@ -140,8 +141,13 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return staged(met.where(alike).select("a", "b"), "jaccard-links")
 
 
-def forest(prints: list[int], labels: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Links between the texts of a tile that reach the threshold and lie under different labels: a spanning forest."""
+def forest(
+    prints: list[int], labels: list[int], sets: list[np.ndarray], places: np.ndarray | None = None
+) -> list[tuple[int, int]]:
+    """Links between the texts of a tile that reach the threshold and lie under different labels: a spanning forest.
+
+    With ``places``, those of a shingle that all hold, pairs are left out that have too little from there on.
+    """
     order = {label: i for i, label in enumerate(dict.fromkeys(labels))}
     own = np.array([order[label] for label in labels])
     found: list[tuple[int, int]] = []
@@ -155,12 +161,18 @@ def forest(prints: list[int], labels: list[int], sets: list[np.ndarray]) -> list
     starts = np.concatenate([[0], np.cumsum(np.bincount(every, minlength=len(names)))])
     # A pair under different labels has a text outside the label that most texts have.
     for i in np.flatnonzero(own != np.bincount(own).argmax()).tolist():
+        wanted = own != own[i]
+        if places is not None:
+            left = sizes - places  # the shingle and what comes after it
+            wanted &= (DEN + NUM) * np.minimum(left[i], left) >= NUM * (sizes[i] + sizes)
+        if not wanted.any():
+            continue
         numbered = every[cuts[i] : cuts[i + 1]]
         # Where the holders of each of the text's shingles lie, one stretch after another.
         first, many = starts[numbered], starts[numbered + 1] - starts[numbered]
         at = np.repeat(first - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
         common = np.bincount(holders[at], minlength=len(sets))
-        for j in np.flatnonzero((DEN + NUM) * common >= NUM * (sizes[i] + sizes)):
+        for j in np.flatnonzero(wanted & ((DEN + NUM) * common >= NUM * (sizes[i] + sizes))):
             if own[i] != own[j]:
                 own[own == own[j]] = own[i]
                 found.append((prints[i], prints[int(j)]))
@@ -197,6 +209,15 @@ def _forests(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _links(forest(prints, labels, sets))
 
 
+def _prefix_forests(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of every tile: rows of tile, digest, label, size, place of the shared shingle, set."""
+    for parts in _tiles(batches):
+        prints, labels = ([x for p in parts for x in p.column(i).to_pylist()] for i in (1, 2))
+        places = np.concatenate([p.column(4).to_numpy() for p in parts])
+        sets = [s.values.to_numpy() for p in parts for s in p.column(5)]
+        yield _links(forest(prints, labels, sets, places))
+
+
 def _meetings(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of every tile that may reach the threshold: rows of tile, digest, label, size, place of the shared shingle."""
     for parts in _tiles(batches):
@@ -242,10 +263,10 @@ def _labels(found: list[DataFrame]) -> DataFrame:
     return staged(simhash.components(every).toDF("fp", "label"), "jaccard-labels")
 
 
-def prefix_pairs(texts: DataFrame, sets: DataFrame) -> DataFrame:
-    """All pairs of ``texts`` (``fp``, ``label``) under different labels that may reach the threshold.
+def prefix_tiles(texts: DataFrame, sets: DataFrame) -> DataFrame:
+    """``tile``, ``fp``, ``label``, ``n``, ``place``: where ``texts`` (``fp``, ``label``) under different labels meet by a shingle.
 
-    Two texts that reach it share one of each one's first n - ceil(0.8 n) + 1 shingles in any common order, and the
+    Two texts that reach the threshold share one of each one's first n - ceil(0.8 n) + 1 shingles in any common order, and the
     first one they share leaves enough of both behind it. The order is by the number of texts that hold a shingle.
     """
     shingles = texts.join(sets, "fp").select("fp", "label", F.size("set").alias("n"), F.explode("set").alias("h"))
@@ -257,24 +278,41 @@ def prefix_pairs(texts: DataFrame, sets: DataFrame) -> DataFrame:
     placed = ranked.select("fp", "label", "n", F.posexplode(first).alias("place", "at"))
     placed = staged(placed.where("at.c > 1").select(F.col("at.h").alias("h"), "fp", "label", "n", "place"), "jaccard-places")
     sizes = placed.groupBy("h").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("m")
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("m"), F.sum("n").alias("shingles")
     )
-    shared = staged(sizes.where("low <> high").select("h", F.ceil(F.col("m") / TILE_TEXTS).cast("int").alias("chunks")), "jaccard-shared-places")
+    # Two chunks meet in a tile. They grow with their number, as far as a tile's shingles allow: fewer rows than chunks of one size.
+    by_shingles = F.least("m", F.ceil(F.col("shingles") * 2 / TILE_SHINGLES))
+    chunks = F.greatest(F.ceil(F.sqrt(F.col("m") / TILE_TEXTS)).cast("long"), by_shingles)
+    shared = staged(sizes.where("low <> high").select("h", chunks.cast("int").alias("chunks")), "jaccard-shared-places")
     # A shingle first in many texts under several labels is met chunk by chunk.
     own = F.pmod(F.xxhash64("fp", F.lit(1)), F.col("chunks")).cast("int")
-    tiles = (
+    return (
         placed.join(broadcast_if_small(shared), "h")
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         .select(
-            F.xxhash64("h", F.least("own", "other"), F.greatest("own", "other")).alias("tile"), "fp", "label", "n", "place"
+            F.xxhash64("h", F.least("own", "other"), F.greatest("own", "other")).alias("tile"),
+            "fp",
+            "label",
+            F.col("n").cast("long"),
+            F.col("place").cast("long"),
         )
     )
-    met = tiles.repartition("tile").sortWithinPartitions("tile", "fp")
-    met = met.select("tile", "fp", "label", F.col("n").cast("long"), F.col("place").cast("long"))
+
+
+def prefix_pairs(texts: DataFrame, sets: DataFrame) -> DataFrame:
+    """All pairs of ``texts`` under different labels that may reach the threshold: up to a row for every two texts of a group."""
+    met = prefix_tiles(texts, sets).repartition("tile").sortWithinPartitions("tile", "fp")
     return met.mapInArrow(lean(_meetings), "a long, b long").distinct()
 
 
+def prefix_links(texts: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between ``texts`` under different labels that reach the threshold: of each tile a spanning forest, no pairs."""
+    met = prefix_tiles(texts, sets).join(sets, "fp").select("tile", "fp", "label", "n", "place", "set")
+    met = met.repartition("tile").sortWithinPartitions("tile", "fp")
+    return met.mapInArrow(lean(_prefix_forests), "a long, b long")
+
+
 def links(slim: DataFrame, distinct: DataFrame) -> DataFrame:
     """Links ``a``, ``b`` between digests whose texts have ``SIMILARITY`` of their shingles in common.
 
@@ -321,7 +359,7 @@ def links(slim: DataFrame, distinct: DataFrame) -> DataFrame:
     found.append(staged(tiles.mapInArrow(lean(_forests), "a long, b long"), "jaccard-tiles"))
     texts = staged(rows.where("large").select("fp", "label").distinct(), "jaccard-large")
     if not texts.isEmpty():
-        found.append(compared(prefix_pairs(texts, sets), sets))
+        found.append(staged(prefix_links(texts, sets), "jaccard-prefix"))
     whole = found[0]
     for more in found[1:]:
         whole = whole.unionByName(more)

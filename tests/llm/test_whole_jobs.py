@@ -147,6 +147,26 @@ def test_the_prefix_join_leaves_out_no_pair(spark):
     assert {(r.a, r.b) for r in found.collect()} == alike
 
 
+def test_texts_of_a_large_group_that_are_not_alike_enough_make_no_rows_by_pairs(spark, monkeypatch):
+    random = np.random.default_rng(8)
+    passage = [f"w{n}" for n in random.integers(0, 100_000, 150)]
+    rows = []
+    for k in range(160):  # two texts share about 0.55 to 0.85 of their shingles
+        text = list(passage)
+        for at in random.integers(0, 30, 3 + k % 2):
+            text[5 * at] = f"x{random.integers(0, 3)}"
+        rows.append((k, " ".join(text)))
+    pairs, compared = [], jaccard.compared
+    monkeypatch.setattr(jaccard, "compared", lambda met, sets: pairs.append(met.count()) or compared(met, sets))
+    monkeypatch.setattr(jaccard, "TILE_TEXTS", 16)
+    monkeypatch.setattr(jaccard, "STAR_ROUNDS", 0)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    want = plain_first(rows)
+    assert 1 < len(want) < len(rows)
+    assert sorted(r.doc_id for r in jaccard.keep_first(frame).collect()) == want
+    assert sum(pairs) < 2 * len(rows)
+
+
 def test_near_copies_of_very_long_and_repeated_texts(spark):
     long = " ".join(f"n{k}" for k in range(150_000))
     rows = [(5, long), (3, long + " more"), (3, long + " more"), (9, "other " + long), (None, "alone here"), (None, "alone here")]
