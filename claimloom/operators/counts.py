@@ -7,7 +7,7 @@ sums, least and largest values and medians follow from what is left. A load cost
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,11 +39,13 @@ def summed(counts: DataFrame) -> DataFrame:
 
 
 def count_changes(before: DataFrame | None, after: DataFrame) -> DataFrame:
-    """Signed counts between two states of the same claims; claims that stayed as they were cancel out."""
-    counts = claim_counts(after)
-    if before is not None:
-        counts = counts.unionByName(claim_counts(before).withColumn(COUNT, -F.col(COUNT)))
-    return summed(counts)
+    """Signed counts between two states of the same claims; claims that stayed as they were cancel out.
+
+    Claims of both states are added up in one shuffle, those of the earlier one as -1.
+    """
+    states = [(after, 1)] if before is None else [(after, 1), (before, -1)]
+    signed = [state.select(*COUNTED, F.lit(sign).cast("long").alias(COUNT)) for state, sign in states]
+    return summed(reduce(DataFrame.unionByName, signed))
 
 
 def record_changes(before: DataFrame | None, after: DataFrame, path: str, seq: int) -> dict:

@@ -56,18 +56,23 @@ class Buckets:
     def merge(self, load: DataFrame) -> dict[str, int]:
         """Bring a load into the state; tells the generation, the buckets rewritten and the rows that these hold.
 
-        Of the load, versions are reduced to one row per key before they are shuffled. What reaches the driver is the list
-        of touched buckets, ``count`` at most. Rows without a key are left out. An empty load changes nothing.
+        A load with the state's own columns and types meets it as it is, so that ``latest`` shuffles once; any other is brought
+        to them by ``latest`` first. What reaches the driver is the list of touched buckets, ``count`` at most. Rows without a
+        key are left out. An empty load changes nothing.
         """
         spark = load.sparkSession
         bucket = F.pmod(F.xxhash64(self.key), F.lit(self.count)).cast("int")
-        new = self.latest(load.where(F.col(self.key).isNotNull()))
-        touched = {r[0] for r in load.where(F.col(self.key).isNotNull()).select(bucket).distinct().collect()}
+        keyed = load.where(F.col(self.key).isNotNull())
+        touched = {r[0] for r in keyed.select(bucket).distinct().collect()}
         generation = max(_numbers(spark, self.path, GENERATION), default=0) + 1
         if not touched:
             return {"generation": generation - 1, "buckets": 0, "rows": 0}
         old = self.read(spark, touched)
-        merged = new if old is None else self.latest(old.unionByName(new, allowMissingColumns=True))
+        if old is None:
+            merged = self.latest(keyed)
+        else:
+            new = keyed if sorted(keyed.dtypes) == sorted(old.dtypes) else self.latest(keyed)
+            merged = self.latest(old.unionByName(new, allowMissingColumns=True))
         rows, seen = observed(merged.withColumn(BUCKET, bucket).hint("rebalance", F.col(BUCKET)))
         rows.write.partitionBy(BUCKET).parquet(self._folder(generation))
         return {"generation": generation, "buckets": len(touched), "rows": seen.get["row_count"]}

@@ -69,6 +69,21 @@ def test_unfinished_merges_and_empty_loads_change_nothing(spark, loads, tmp_path
     assert rows(state.read(spark)) == rows(silver.latest_claims(loads[0].unionByName(loads[1])))
 
 
+def test_a_merge_and_its_changes_shuffle_claims_once(spark, loads, tmp_path):
+    calls = []
+    state = Buckets(str(tmp_path), "claim_id", lambda df: calls.append(1) or silver.latest_claims(df), count=4)
+    state.merge(loads[0])
+    state.merge(loads[1])
+    assert len(calls) == 2
+    other = loads[2].withColumn("status", F.lit(7)).drop("description")  # not the state's columns and types
+    done = state.merge(other)
+    every = loads[0].unionByName(loads[1]).unionByName(silver.standardize_columns(other))
+    assert rows(state.read(spark)) == rows(silver.latest_claims(every))
+    clean = [silver.clean_claims(x, RUN_TS) for x in state.changes(spark, done["generation"])]
+    plan = counts.count_changes(*clean)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def rounded(df):
     return rows(df.select([F.bround(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes]))
 
