@@ -8,6 +8,7 @@ two beginnings are a record, wherever splits cut it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
@@ -16,6 +17,9 @@ from pyspark.sql import functions as F
 from claimloom.sources.scratch import scratch_path
 
 SPLIT = ("file", "block")
+#: Octets of lines that a task sorts and sums up, and what a line takes there besides its text (its file's name and numbers).
+TASK_OCTETS = 32 << 20
+LINE_OCTETS = 256
 
 def _so_far() -> WindowSpec:
     """Lines of a split in order, up to and with the line itself."""
@@ -45,11 +49,21 @@ def split_lines(spark: SparkSession, path: str, **columns: Column) -> DataFrame:
     return spark.read.schema(lines.schema).parquet(where)
 
 
-def _summed(lines: DataFrame, amount: str, name: str) -> DataFrame:
-    """``lines`` with ``name``: the sum of ``amount`` over the file's lines up to and with this one."""
+def dealt(lines: DataFrame) -> DataFrame:
+    """``lines`` dealt out by split, to as many tasks as what they take in memory asks for.
+
+    Dealt out by what they take in the shuffle, where they are compressed, tasks sort many times more and spill it in each step.
+    """
+    sizes = lines.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("value")).alias("octets")).first()
+    held = sizes["n"] * LINE_OCTETS + (sizes["octets"] or 0)
+    return lines.repartition(max(1, math.ceil(held / TASK_OCTETS)), *SPLIT)
+
+
+def _summed(lines: DataFrame, amount: str, name: str, *, deal: bool = False) -> DataFrame:
+    """``lines`` (dealt out first, where asked) with ``name``: the sum of ``amount`` over the file's lines up to and with this one."""
     parts = lines.groupBy(*SPLIT).agg(F.sum(amount).alias("part"))
     offsets = parts.select(*SPLIT, F.coalesce(F.sum("part").over(_earlier()), F.lit(0)).alias("offset"))
-    running = lines.join(offsets, [*SPLIT]).withColumn(name, F.sum(amount).over(_so_far()) + F.col("offset"))
+    running = (dealt(lines) if deal else lines).join(offsets, [*SPLIT]).withColumn(name, F.sum(amount).over(_so_far()) + F.col("offset"))
     return running.drop("offset")
 
 
@@ -104,7 +118,7 @@ def json_records(spark: SparkSession, path: str) -> DataFrame:
         F.min_by("margin", F.when(F.col("margin").isNotNull(), place)).alias("first_margin"),
     )
     # One row per file.
-    lines = _summed(lines, "delta", "depth").join(files, "file")
+    lines = _summed(lines, "delta", "depth", deal=True).join(files, "file")
     resets = (F.col("total") != 0) & (F.col("first_margin") > 0) & F.col("margin").eqNullSafe(F.col("first_margin"))
     lines = _last(lines, F.when(resets, F.col("depth") - F.col("delta") - F.col("base")), "drift")
     lines = lines.withColumn("after", F.col("depth") - F.coalesce("drift", F.lit(0)))
@@ -139,7 +153,7 @@ def csv_records(spark: SparkSession, path: str, *, delimiter: str = ",") -> Data
     from_open = F.when(F.instr(single, '"') == 0, True).otherwise(left_open(rest))
     lines = split_lines(spark, path, from_closed=from_closed, from_open=from_open)
     turns = (F.col("from_closed") & ~F.col("from_open")).cast("long")
-    lines = _summed(lines.withColumn("turns", turns), "turns", "turned")
+    lines = _summed(lines.withColumn("turns", turns), "turns", "turned", deal=True)
     # Where both states lead to one, what comes after no longer depends on what was before.
     sets = F.when(F.col("from_closed") == F.col("from_open"), F.col("from_closed").cast("long") + F.col("turned"))
     lines = _last(lines, sets, "anchor")

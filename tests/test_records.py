@@ -4,9 +4,10 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimloom.sources import readers
+from claimloom.sources import readers, records
 from claimloom.sources.records import split_lines
 
 NOTE = (
@@ -122,3 +123,14 @@ def test_a_record_longer_than_many_splits(spark, tmp_path, small_splits):
     (tmp_path / "a.csv").write_text(f'a,b,c\n"{long}",x,1\nshort,"{long}",2\n')
     got = {r.c: (r.a, r.b) for r in readers.read_csv_records(spark, str(tmp_path), PERSON).collect()}
     assert got == {1: (long, "x"), 2: ("short", long)}
+
+
+def test_tasks_grow_with_what_lines_take_in_memory(spark, tmp_path, small_splits, monkeypatch):
+    path = tmp_path / "notes.json"
+    path.write_text(json.dumps(notes(20), indent=2))
+    monkeypatch.setattr(records, "TASK_OCTETS", 1 << 11)
+    lines = records.dealt(records.split_lines(spark, str(path)))
+    tasks = lines.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.count_distinct("block").alias("splits")).collect()
+    assert len(tasks) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sum(t.n for t in tasks) == lines.count() and max(t.splits for t in tasks) < 20
+    assert rows(readers.read_json_array(spark, str(path), NOTE)) == rows(spark.createDataFrame(notes(20), NOTE))
