@@ -6,6 +6,8 @@ for surviving groups alone. Built-in expressions throughout.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,13 +40,13 @@ def surviving_groups(docs: DataFrame, text: str = "text", prefix_chars: int = PR
     )
 
 
-def marked(size: str | Column, prefix: str | Column, bits: int) -> tuple[Column, Column]:
-    """The row of the bit table and the place in it that stand for a group."""
-    at = F.pmod(F.xxhash64(size, prefix), F.lit(bits))
+def marked(key: Sequence[str | Column], bits: int) -> tuple[Column, Column]:
+    """The row of the bit table and the place in it that stand for a group's key."""
+    at = F.pmod(F.xxhash64(*key), F.lit(bits))
     return F.floor(at / F.lit(BITS_PER_ROW)).cast("int"), at % F.lit(BITS_PER_ROW)
 
 
-def bit_table(survivors: DataFrame) -> tuple[DataFrame, int]:
+def bit_table(survivors: DataFrame, key: Sequence[str] = ("n_bytes", "prefix_hash")) -> tuple[DataFrame, int]:
     """``bit_row``, ``bit_map``: a bit for each surviving group, and how many bits there are.
 
     ``BITS_PER_GROUP`` a group up to ``MOST_BITS``, so that a text of no group is taken for one of a group once in 16
@@ -52,7 +54,7 @@ def bit_table(survivors: DataFrame) -> tuple[DataFrame, int]:
     """
     wanted = max(1, survivors.count()) * BITS_PER_GROUP
     bits = min(MOST_BITS, max(BITS_PER_ROW, 1 << (wanted - 1).bit_length()))
-    row, place = marked("n_bytes", "prefix_hash", bits)
+    row, place = marked(key, bits)
     placed = survivors.select(row.alias("bit_row"), place.alias("place"))
     return staged(placed.groupBy("bit_row").agg(F.bitmap_construct_agg("place").alias("bit_map")), "dedup-bits"), bits
 
@@ -67,15 +69,22 @@ def refine(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", prefi
     name = fresh(docs, "full_hash")
     content = text_or_empty(text)
     table, bits = bit_table(staged(surviving_groups(docs, text, prefix_chars), "dedup-survivors"))
-    row, place, map_ = (fresh(docs, c) for c in ("bit_row", "bit_place", "bit_map"))
     size, prefix = F.octet_length(content), F.xxhash64(lower_ascii(F.left(content, F.lit(prefix_chars))))
-    at_row, at_place = marked(size, prefix, bits)
+    held = fresh(docs, "bit_held")
+    hashed = with_bits(docs, [size, prefix], table, bits, held)
+    return hashed.withColumn(name, F.when(F.col(held), full_hash(lower_ascii(content)))).drop(held)
+
+
+def with_bits(rows: DataFrame, key: Sequence[Column], table: DataFrame, bits: int, name: str) -> DataFrame:
+    """The rows with ``name``: true where the bit of their key is set in a ``bit_table``, which is broadcast; else false or null."""
+    row, place, map_ = (fresh(rows, c) for c in ("bit_row", "bit_place", "bit_map"))
+    at_row, at_place = marked(key, bits)
     octet = F.conv(F.hex(F.substring(F.col(map_), (F.col(place) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     bit = F.pmod(F.floor(octet / F.pow(F.lit(2), F.col(place) % 8)), F.lit(2)) == 1
     return (
-        docs.withColumns({row: at_row, place: at_place})
+        rows.withColumns({row: at_row, place: at_place})
         .join(F.broadcast(table.toDF(row, map_)), row, "left")
-        .withColumn(name, F.when(bit, full_hash(lower_ascii(content))))
+        .withColumn(name, bit)
         .drop(row, place, map_)
     )
 

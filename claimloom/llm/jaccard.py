@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimloom.llm import simhash
-from claimloom.llm.common import broadcast_if_small, fresh, lean, staged, text_groups
+from claimloom.llm import exact, simhash
+from claimloom.llm.common import BROADCAST_ROWS, broadcast_if_small, fresh, lean, staged, text_groups
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -133,8 +133,11 @@ def similar_sizes(one: str, other: str) -> F.Column:
 
 
 def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The ``pairs`` (``a``, ``b``) whose texts reach the threshold."""
-    met = pairs.join(sets.select(F.col("fp").alias("a"), F.col("set").alias("a_set")), "a")
+    """The ``pairs`` (``a``, ``b``) whose texts reach the threshold; sets that are in no pair stay where they are."""
+    pairs = staged(pairs, "jaccard-pairs")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
+    sets = sets.join(broadcast_if_small(staged(ends, "jaccard-ends")), "fp", "left_semi")
+    met = broadcast_if_small(pairs).join(sets.select(F.col("fp").alias("a"), F.col("set").alias("a_set")), "a")
     met = met.join(sets.select(F.col("fp").alias("b"), F.col("set").alias("b_set")), "b")
     common = F.size(F.array_intersect("a_set", "b_set"))
     alike = common * (DEN + NUM) >= (F.size("a_set") + F.size("b_set")) * NUM
@@ -231,6 +234,15 @@ def _meetings(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _links(found)
 
 
+def of_shared(rows: DataFrame, shared: DataFrame) -> DataFrame:
+    """The ``rows`` whose ``key`` is one of ``shared``. Beyond what is broadcast, a table of bits leaves out most of the others first."""
+    if shared.count() > BROADCAST_ROWS:
+        table, bits = exact.bit_table(shared, ["key"])
+        held = fresh(rows, "bit_held")
+        rows = exact.with_bits(rows, [F.col("key")], table, bits, held).where(held).drop(held)
+    return rows.join(broadcast_if_small(shared), "key")
+
+
 def shingle_sets(slim: DataFrame, distinct: DataFrame, named: DataFrame) -> DataFrame:
     """``fp``, ``set`` of the texts whose digests ``named`` holds, one row each, read from one row of each text."""
     ids = distinct.join(broadcast_if_small(staged(named.distinct(), "jaccard-named")), "fp", "left_semi")
@@ -308,7 +320,8 @@ def prefix_pairs(texts: DataFrame, sets: DataFrame) -> DataFrame:
 
 def prefix_links(texts: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between ``texts`` under different labels that reach the threshold: of each tile a spanning forest, no pairs."""
-    met = prefix_tiles(texts, sets).join(sets, "fp").select("tile", "fp", "label", "n", "place", "set")
+    met = broadcast_if_small(staged(prefix_tiles(texts, sets), "jaccard-met")).join(sets, "fp")
+    met = met.select("tile", "fp", "label", "n", "place", "set")
     met = met.repartition("tile").sortWithinPartitions("tile", "fp")
     return met.mapInArrow(lean(_prefix_forests), "a long, b long")
 
@@ -323,7 +336,7 @@ def links(slim: DataFrame, distinct: DataFrame) -> DataFrame:
     shared = staged(
         every.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key"), "jaccard-shared"
     )
-    rows = staged(every.join(broadcast_if_small(shared), "key"), "jaccard-keys")
+    rows = staged(of_shared(every, shared), "jaccard-keys")
     near = simhash_pairs(distinct)
     named = rows.select("fp").unionByName(near.select(F.col("a").alias("fp"))).unionByName(near.select(F.col("b").alias("fp")))
     sets = shingle_sets(slim, distinct, named)
@@ -354,7 +367,7 @@ def links(slim: DataFrame, distinct: DataFrame) -> DataFrame:
     large = (F.col("m") > TILE_TEXTS) | ((F.col("m") > 2) & (F.col("shingles") > TILE_SHINGLES))
     mixed = staged(sizes.where("low <> high").select("key", large.alias("large")), "jaccard-left-keys")
     rows = staged(rows.join(broadcast_if_small(mixed), "key"), "jaccard-left-rows")
-    tiles = rows.where("not large").select(F.col("key").alias("tile"), "fp", "label").join(sets, "fp")
+    tiles = broadcast_if_small(rows.where("not large").select(F.col("key").alias("tile"), "fp", "label")).join(sets, "fp")
     tiles = tiles.select("tile", "fp", "label", "set").repartition("tile").sortWithinPartitions("tile", "fp")
     found.append(staged(tiles.mapInArrow(lean(_forests), "a long, b long"), "jaccard-tiles"))
     texts = staged(rows.where("large").select("fp", "label").distinct(), "jaccard-large")

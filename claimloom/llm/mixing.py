@@ -26,6 +26,8 @@ WEIGHT_CYCLE = (1, 2, 3)
 MAX_BITS = 16
 #: Rows per stretch of the shuffled order; stretches are summed first, then rows within each.
 ROWS_PER_STRETCH = 4096
+#: Slots of a part of the schedule at least, and parts at most: what texts are dealt out by.
+PART_SLOTS, MOST_PARTS = 32, 2048
 #: Sources per range where sources are ranked and summed.
 ROWS_PER_RANGE = 1 << 16
 
@@ -259,22 +261,19 @@ def mix(
     return summed.select(*columns).unionByName(idle.select(*columns)), planned
 
 
-def scheduled(
+def placed_slots(
     docs: DataFrame,
     *,
     doc_id: str = "doc_id",
     text: str = "text",
     source: str = "source",
-    slot: str = "slot",
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
-    """The documents as the mix holds them, with ``slot``, the place of a document's first block in the schedule.
+    """``source``, ``key``, ``slot`` (the place of its first block in the schedule) of every document for each epoch that
+    takes at least half of its words.
 
-    A document is there once per epoch that takes at least half of its words; each time it stands where the schedule has the
-    block with its first word. A slot follows from the repeated pattern by arithmetic, so only short rows meet the
-    pattern (broadcast behind a count), and the texts meet their slots once, by source and key. Rows that repeat
-    share a key, and so a count and slots. Empty documents take no part and are left out. ``slot`` takes the
-    name given in place of a column that bears it.
+    A slot follows from the repeated pattern by arithmetic, so only short rows meet the pattern (broadcast behind a count).
+    Rows that repeat share a key, and so a count and slots. Empty documents take no part and are left out.
     """
     taken, planned = mix(docs, doc_id=doc_id, text=text, source=source, block_words=block_words)
     times = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
@@ -288,11 +287,28 @@ def scheduled(
     turned = turned.withColumn("repeat", F.expr("turn div share")).withColumn("nth", (F.col("turn") % F.col("share")).cast("int"))
     pattern = planned.pattern.select("rank", "nth", "place")
     at = F.shiftleft(F.col("repeat"), planned.bits) + F.col("place")
+    slots = turned.join(broadcast_if_small(pattern), ["rank", "nth"]).select("source", "key", at.alias("slot"))
+    return staged(slots, "mix-slots")
+
+
+def scheduled(
+    docs: DataFrame,
+    *,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    slot: str = "slot",
+    block_words: int = BLOCK_WORDS,
+) -> DataFrame:
+    """The documents as the mix holds them, with ``slot``, the place of a document's first block in the schedule.
+
+    A document is there once for each of its ``placed_slots``; each time it stands where the schedule has the block with its
+    first word. The texts meet their slots once, by source and key. ``slot`` takes the name given in place of a column that
+    bears it.
+    """
+    slots = placed_slots(docs, doc_id=doc_id, text=text, source=source, block_words=block_words)
     of, key, own, to = (fresh(docs, c) for c in ("mix_source", "mix_key", "mix_own", "mix_slot"))
-    slots = turned.join(broadcast_if_small(pattern), ["rank", "nth"]).select(
-        F.col("source").alias(of), F.col("key").alias(key), at.alias(to)
-    )
-    slots = staged(slots, "mix-slots")
+    slots = slots.toDF(of, key, to)
     kept = [c for c in docs.columns if c.lower() != slot.lower()]
     marked = docs.where(F.regexp_instr(text_or_empty(text), F.lit(WORD)) > 0)
     same = (F.col(own) == F.col(key)) & F.col(source).eqNullSafe(F.col(of))
@@ -304,7 +320,29 @@ def in_schedule_order(
     docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source"
 ) -> DataFrame:
     """The documents as the mix holds them, dealt out by ranges of slots and in their order: what a file holds is a stretch
-    of the schedule, in which the sources have their target shares. Columns stay as they are."""
-    slot = fresh(docs, "mix_slot")
-    mixed = scheduled(docs, doc_id=doc_id, text=text, source=source, slot=slot)
-    return mixed.repartitionByRange(slot, doc_id).sortWithinPartitions(slot, doc_id).select(*docs.columns)
+    of the schedule, in which the sources have their target shares. Columns stay as they are.
+
+    The texts are shuffled once. The slots are cut into parts. Keys are in the order of a source's words, so in each epoch a
+    part takes an interval of them; a short table of intervals, broadcast behind a count, sends a text to its parts. There it
+    meets its slots, and a text that an interval takes in without a slot there is left out.
+    """
+    slots = placed_slots(docs, doc_id=doc_id, text=text, source=source)
+    last = slots.agg(F.max("slot")).first()[0] or 0
+    width = max(PART_SLOTS, math.ceil((last + 1) / MOST_PARTS))
+    digits = max(1, len(f"{last // width:x}") - 1)  # of keys: fewer beginnings than parts, or there would be an interval a text
+    placed = slots.withColumn("part", F.floor(F.col("slot") / F.lit(width)))
+    head = F.left("key", F.lit(digits))
+    intervals = placed.groupBy(F.col("source").alias("of"), head.alias("head"), "part").agg(
+        F.min("key").alias("low"), F.max("key").alias("high")
+    )
+    intervals = staged(intervals, "mix-parts")
+    texts = docs.select(
+        F.col(source).alias("source"), shuffle_key(doc_id, text).alias("key"), F.struct(*docs.columns).alias("row")
+    )
+    inside = F.col("source").eqNullSafe(F.col("of")) & (head == F.col("head")) & F.col("key").between(F.col("low"), F.col("high"))
+    sent = texts.join(broadcast_if_small(intervals), inside).select("part", "source", "key", "row")
+    dealt = sent.unionByName(placed, allowMissingColumns=True).repartitionByRange("part")
+    # Rows of one key: the text, as often as it is repeated, and a slot an epoch.
+    own = F.collect_list("slot").over(Window.partitionBy("part", "source", "key"))
+    met = dealt.withColumn("own", own).where(F.col("row").isNotNull()).select("row", F.explode("own").alias("slot"))
+    return met.sortWithinPartitions("slot", F.col("row").getField(doc_id)).select("row.*")

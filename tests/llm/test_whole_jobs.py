@@ -269,6 +269,42 @@ def test_the_mixing_stage_writes_stretches_of_the_schedule(spark, sf_dir, tmp_pa
     assert all(a[1] <= b[0] for a, b in zip(ends, ends[1:]))
 
 
+def test_keys_that_no_other_text_has_are_left_out_before_a_join_that_shuffles(spark, monkeypatch):
+    rows = spark.range(40_000).select(F.col("id").alias("fp"), F.col("id").alias("n"), F.xxhash64("id").alias("key"))
+    shared = rows.where("fp % 40 = 3").select("key").localCheckpoint()
+    monkeypatch.setattr(jaccard, "BROADCAST_ROWS", 10)
+    monkeypatch.setattr(jaccard, "broadcast_if_small", lambda df, rows=0: df)
+    found = jaccard.of_shared(rows, shared)
+    assert sorted(r.fp for r in found.collect()) == list(range(3, 40_000, 40))
+    assert sorted(found.columns) == ["fp", "key", "n"]
+    table, bits = exact.bit_table(shared, ["key"])
+    held = exact.with_bits(rows, [F.col("key")], table, bits, "held").where("held")
+    assert 1000 <= held.count() <= 1000 + 40_000 // 8
+    assert jaccard.of_shared(rows, shared.limit(0)).count() == 0
+
+
+def test_texts_are_shuffled_once_into_the_order_of_the_schedule(spark, monkeypatch):
+    rows = [(i, f"t{i} " * (1 + i * 7 % 90), "abcd"[i % 11 % 4]) for i in range(1500)] + [(7, "t7 " * 50, "d"), (None, "x y", None)]
+    docs = spark.createDataFrame([*rows, (2000, "", "a"), (2001, None, None)], "doc_id long, text string, source string")
+    place = {}
+    for r in mixing.scheduled(docs).collect():
+        place.setdefault((r.source or "", r.doc_id or -1, r.text), []).append(r.slot)
+    monkeypatch.setattr(mixing, "PART_SLOTS", 1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ordered = mixing.in_schedule_order(docs)
+        plan = ordered._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange rangepartitioning") == 1 and "Exchange hashpartitioning" not in plan
+        got = [(r.source or "", r.doc_id or -1, r.text) for r in ordered.collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    want = sorted((slot, key[1], key) for key, slots in place.items() for slot in slots)
+    assert len(want) > 1000 and sorted(got) == sorted(key for *_, key in want)
+    slots = {key: sorted(slots) for key, slots in place.items()}
+    at = [slots[key].pop(0) for key in got]
+    assert at == sorted(at)
+
+
 def test_crowded_band_values_fall_apart_without_losing_a_link(spark, monkeypatch):
     random = np.random.default_rng(4)
     centre = int(random.integers(0, 1 << 63))
